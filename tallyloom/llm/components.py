@@ -40,4 +40,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if now == before or not now[0]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = now
-        e = stored(_distinct(_small_star(_distinct(_large_star(e)))), "edges")
+        e = stored(_distinct(_small_star(_distinct(_large_star(e)))), "edges", rows=now[0])

@@ -198,7 +198,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     Rows with equal ids are vectors of their own. A null id never names a component; its row is not kept. Other columns are not read.
     """
     kind = "<f4" if isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType) else "<f8"
-    rows = stored(prepare(vectors, id_col, vec_col, label_col), "vectors")
+    rows = stored(prepare(vectors, id_col, vec_col, label_col), "vectors", scan=True)
     nodes = rows.where("vec IS NOT NULL").groupBy("label", "key").agg(F.min("row").alias("node"), F.count("*").alias("m"), F.min("id").alias("least"), F.first("vec").alias("vec"))
     nodes = stored(nodes, "nodes")
     found = stored(connected_components(projection_links(nodes, kind, threshold, **how)).withColumnRenamed("component", "c"), "components")

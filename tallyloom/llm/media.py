@@ -108,7 +108,7 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         roll.close()
 
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(run, f"id {kind}, n_bytes long, digest string, shard string, offset long, length long")
-    return stored(out, "media").withColumnRenamed("id", id_col)
+    return stored(out, "media", scan=True).withColumnRenamed("id", id_col)
 
 
 def objects(rows: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner:
     owner = F.col("source") if owner is None else owner
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     narrow = docs.select(F.col(id_col).alias("_id"), owner.alias("_owner"), repository.alias("_repository"), F.col(text_col).alias("_text"))
-    found = stored(base_spans(narrow, ["_id", "_owner", "_repository"], "_text").withColumn("_row", F.monotonically_increasing_id()), "secrets")
+    found = stored(base_spans(narrow, ["_id", "_owner", "_repository"], "_text").withColumn("_row", F.monotonically_increasing_id()), "secrets", scan=True)
     live = ownership(found, **bounds).where("live").select("value")
     spans = found.select("_row", F.explode("found").alias("s")).select("_row", "s", F.col("s.value").alias("value")).join(live, "value", "left_semi")
     spans = spans.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("s.start", "s.end"))).alias("live"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import LOWER, UPPER, stored, table
+from tallyloom.llm.common import LOWER, UPPER, fewer, stored, table
 from tallyloom.llm.components import connected_components
 
 WORDS, SEED, RADIUS = 4, 42, 4
@@ -198,13 +198,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     never names a component; if no id of a component is known, component_id is null. An empty table gives an empty result. Other
     columns are not read.
     """
-    fps = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    fps = stored(fingerprints(docs, id_col, text_col, words), "fingerprints", scan=True)
     classes = stored(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "classes")
     found = connected_components(fingerprint_links(classes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "c"})
     named = stored(classes.join(found, "fp"), "linked")
     least = named.groupBy("c").agg(F.min("rep").alias("least"))
     named = classes.join(named.join(least, "c").select("fp", "least"), "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
-    return fps.join(named, "fp", "left").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fewer(fps.join(named, "fp", "left")).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:

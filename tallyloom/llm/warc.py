@@ -33,7 +33,7 @@ def resolve(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", l
     while another id is. digest is binary SHA-256. A hot payload is pre-aggregated, and only headers are shuffled.
     """
     payload = text_or_empty(html_col).cast("binary")
-    heads = stored(pages.select(id_col, F.octet_length(payload).cast("long").alias("payload_bytes"), F.unhex(F.sha2(payload, 256)).alias("digest")), "heads")
+    heads = stored(pages.select(id_col, F.octet_length(payload).cast("long").alias("payload_bytes"), F.unhex(F.sha2(payload, 256)).alias("digest")), "heads", scan=True)
     first = heads.where(F.col("payload_bytes") >= least).groupBy("digest").agg(F.min(id_col).alias("original"), F.count("*").alias("n")).where("n > 1").drop("n")
     out = heads.join(first, "digest", "left")
     return out.select(id_col, "payload_bytes", "digest", F.when(~F.col(id_col).eqNullSafe(F.col("original")), F.col("original")).alias("refers_to"))
