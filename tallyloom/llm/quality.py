@@ -201,15 +201,17 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Only the text is looked at: other columns are not read. Without usable labels every score is the smoothed share, 0.5.
     """
-    feats = stored(featurise(docs, id_col, text_col), "features")
+    feats = stored(featurise(docs, id_col, text_col), "features", scan=True)
     out = score_features(feats, train(feats, labels, id_col, **how), id_col)
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 def accept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of docs that the classifier, fitted on docs and labels, does not reject. Scores are computed in the same pass as the rows are kept."""
-    feats = docs.join(labels.where(F.col(id_col).isNotNull()).select(id_col).distinct(), id_col, "left_semi")
-    model = train(stored(featurise(feats, id_col, text_col), "features"), labels, id_col, **how)
+    """The rows of docs that the classifier, fitted on docs and labels, does not reject.
+
+    Features are taken twice, to fit and to score beside the text: texts are never shuffled, and rows need no unique id.
+    """
+    model = train(stored(featurise(docs, id_col, text_col), "features", scan=True), labels, id_col, **how)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
