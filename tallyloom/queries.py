@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from tallyloom.operators import cumulative, documents, enrich, history, ledger, people, report, triage, trust
+from tallyloom.plans import weekly
+from tallyloom.streaming import ingest
+
+MODULES = (cumulative, enrich, history, report, ledger, trust, people, documents, triage, weekly, ingest)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
