@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import table, text_or_empty
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pieces and token pairs that a worker remembers; beyond that it forgets them all and goes on.
-PIECES, PAIRS = 500_000, 1_000_000
+#: Pieces that a worker remembers, twice: beyond that it forgets those it has not met since it last forgot. Token pairs likewise, all at once.
+PIECES, PAIRS = 300_000, 1_000_000
 
 
 class Vocabulary:
@@ -30,16 +32,44 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {r: b for b, r in ranks.items()}
-        self.longest = max(map(len, ranks))
         self.follows: dict[int, bool] = {}
         alone = {r: self._merge(b) == [r] for b, r in ranks.items() if len(b) > 1}
         self.usable = {b: r for b, r in ranks.items() if alone.get(r, True)}
-        #: Lengths of tokens by their last two bytes: few lengths are tried at each place.
-        ends: dict[bytes, set[int]] = {}
-        for b in self.usable:
-            if len(b) > 1:
-                ends.setdefault(b[-2:], set()).add(len(b))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
+        self.size = {r: len(b) for b, r in self.usable.items()}
+        self._link()
+
+    def _link(self) -> None:
+        """Suffix links over the tokens' bytes: `step` and `fail` lead to the longest token prefix that ends at a byte, `longest` to the
+        longest token that ends there, and `shorter` from a token to the next shorter one that ends with it."""
+        step: dict[int, int] = {}
+        token, fail, order = [-1], [0], []
+        for b, r in self.usable.items():
+            at = 0
+            for x in b:
+                if (to := step.get(at << 8 | x)) is None:
+                    to = step[at << 8 | x] = len(token)
+                    token.append(-1)
+                    order.append((len(token) - 1, at, x))
+                at = to
+            token[at] = r
+        fail = [0] * len(token)
+        below: dict[int, list[tuple[int, int]]] = {}
+        for to, at, x in order:
+            below.setdefault(at, []).append((x, to))
+        longest, queue = [-1] * len(token), [0]
+        self.shorter: dict[int, int] = {}
+        for at in queue:
+            for x, to in below.get(at, ()):
+                f = fail[at]
+                while at and (f << 8 | x) not in step and f:
+                    f = fail[f]
+                fail[to] = step.get(f << 8 | x, 0) if at else 0
+                inner = longest[fail[to]]
+                longest[to] = token[to] if token[to] >= 0 else inner
+                if token[to] >= 0:
+                    self.shorter[token[to]] = inner
+                queue.append(to)
+        self.step, self.fail, self.longest = step, fail, longest
 
     def _merge(self, piece: bytes) -> list[int]:
         """Merges of lowest rank first, leftmost first: the definition, used on one or two tokens' bytes."""
@@ -60,7 +90,8 @@ class Vocabulary:
         if (known := self.follows.get(key)) is None:
             if len(self.follows) >= PAIRS:
                 self.follows.clear()
-            known = self.follows[key] = self._merge(self.bytes[a] + self.bytes[b]) == [a, b]
+            both = self.bytes[a] + self.bytes[b]
+            known = self.follows[key] = both not in self.usable and self._merge(both) == [a, b]
         return known
 
 
@@ -68,30 +99,30 @@ class PrefixEncoder:
     """The encoding of every prefix of one piece's bytes."""
 
     def __init__(self, vocabulary: Vocabulary, piece: bytes = b""):
-        self.v, self.piece, self.last = vocabulary, b"", [-1]
+        self.v, self.piece, self.last, self.state = vocabulary, b"", [-1], [0]
         self.append(piece)
 
     def append(self, more: bytes) -> "PrefixEncoder":
         """Exact: the entries of the bytes already there stay."""
-        v, last = self.v, self.last
-        at, self.piece = len(self.piece), self.piece + more
-        piece, usable, lengths, longest = self.piece, v.usable, v.lengths, v.longest
-        for end in range(at + 1, len(piece) + 1):
-            token = -1
-            for n in lengths.get(piece[end - 2 : end], ()) if end > 1 else ():
-                if n <= end and (t := usable.get(piece[end - n : end])) is not None and ((p := last[end - n]) < 0 or v.may_follow(p, t)):
-                    token = t
-                    break
-            if token < 0:  # a single byte
-                token = usable[piece[end - 1 : end]]
-                assert end == 1 or v.may_follow(last[end - 1], token), "no token ends this prefix"
-            last.append(token)
+        v, last, state = self.v, self.last, self.state
+        step, fail, longest, shorter, size, follows, may = v.step.get, v.fail, v.longest, v.shorter, v.size, v.follows.get, v.may_follow
+        end, at = len(self.piece), state[-1]
+        self.piece += more
+        for x in more:
+            end += 1
+            while (to := step(at << 8 | x)) is None:
+                at = fail[at]
+            at, t = to, longest[to]
+            while (p := last[end - size[t]]) >= 0 and not (may(p, t) if (ok := follows(p << 32 | t)) is None else ok):
+                t = shorter[t]
+            last.append(t)
+            state.append(at)
         return self
 
     def edit(self, start: int, end: int, new: bytes) -> "PrefixEncoder":
         """Replace bytes start..end: entries before `start` are kept, those after are computed again."""
         tail = new + self.piece[end:]
-        self.piece, self.last = self.piece[:start], self.last[: start + 1]
+        self.piece, self.last, self.state = self.piece[:start], self.last[: start + 1], self.state[: start + 1]
         return self.append(tail)
 
     def ids(self, end: int | None = None) -> list[int]:
@@ -110,23 +141,29 @@ class Tokenizer:
         with open(path, "rb") as f:
             self.v = Vocabulary({base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a})
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         top = max(self.v.bytes) + 1
         self.table = [self.v.bytes.get(i, b"") for i in range(top)]
 
     def _piece(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8", "surrogatepass")
-        whole = self.v.ranks.get(raw)
-        ids = np.array([whole] if whole is not None else PrefixEncoder(self.v, raw).ids(), "<u4").tobytes()
+        if (ids := self.older.get(piece)) is None:
+            raw = piece.encode("utf-8", "surrogatepass")
+            whole = self.v.ranks.get(raw)
+            ids = pack("<I", whole) if whole is not None else array("I", PrefixEncoder(self.v, raw).ids()).tobytes()
         if len(piece) <= 64:
             if len(self.known) >= PIECES:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[piece] = ids
         return ids
 
     def encode(self, text: str) -> np.ndarray:
-        known, new = self.known.get, self._piece
-        return np.frombuffer(b"".join([known(p) or new(p) for p in self.split(text)]), "<u4")
+        out, new = [], self._piece
+        pieces = self.split(text)
+        for at in range(0, len(pieces), 4096):
+            known = self.known.get
+            out += [known(p) or new(p) for p in pieces[at : at + 4096]]
+        return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.table.__getitem__, ids.tolist()))

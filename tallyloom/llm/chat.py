@@ -6,7 +6,7 @@ turn and a limited history, and the repeated turns are outside its loss mask, so
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import stored, table
@@ -30,43 +30,42 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, lear
     """(conv_col, window, text, loss, repeated): the windows of every conversation.
 
     loss holds the (start, end) code points, end exclusive, of the texts of new turns with role `learn`; repeated is the number of turns
-    before the first new one. A first turn with role system is repeated in every window. New turns fill what the budget leaves beside
-    system turn and history; a turn that is longer than that is a window of its own, whole. Null roles and texts count as empty. Turns
-    go by turn number (null first), ties by role and text, and repeated rows are turns of their own; a null conversation id is one
-    conversation. An empty table gives no windows. A conversation's turns meet in one row, as its output contract needs.
+    before the first new one. A first turn with role system is repeated in every window, and of the window before as many last turns as
+    fit `history`. What the budget leaves beside them is halved: a turn of at most that half goes to the half its prefix sum falls in, so
+    windows keep the budget; a longer turn is a window of its own, whole. Null roles and texts count as empty. Turns go by turn number
+    (null first), ties by role and text, and repeated rows are turns of their own; a null conversation id is one conversation. An empty
+    table gives no windows. Only prefix sums are taken over a whole conversation, in rows that can spill; a window's rows then meet.
     """
-    role, text = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
-    t = turns.groupBy(F.col(conv_col).alias("conv")).agg(F.sort_array(F.collect_list(F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text")))).alias("t"))
-    body = F.transform("t", lambda x: F.struct(x["role"].alias("role"), F.concat(F.lit(TURN), escape(x["role"]), F.lit(TEXT)).alias("head"), escape(x["text"]).alias("body")))
-    t = t.select("conv", body.alias("t"), F.when(F.col("t")[0]["role"] == "system", 1).otherwise(0).alias("fixed"))
-    t = t.withColumn("cost", F.transform("t", lambda x: F.ceil((F.length(x["head"]) + F.length(x["body"]) + len(END)) / CHARS).cast("long")))
-    zero = F.array(F.lit(0).cast("long"))
-    t = t.withColumn("sums", F.aggregate("cost", zero, lambda a, c: F.concat(a, F.array(F.element_at(a, -1) + c))))
-    room = F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.get("sums", F.col("fixed")))
-
-    def begin(a, i):
-        over = F.get("sums", i + 1) - F.get("sums", F.element_at(a, -1)) > room
-        return F.when(over & (F.element_at(a, -1) < i), F.concat(a, F.array(i))).otherwise(a)
-
-    places = F.when(F.size("t") > F.col("fixed"), F.sequence(F.col("fixed"), F.size("t") - 1)).otherwise(F.array().cast("array<int>"))
-    t = t.withColumn("starts", F.aggregate(places, F.array("fixed"), begin))
-    w = t.select("*", F.posexplode("starts").alias("window", "start"))
-    w = w.withColumn("stop", F.coalesce(F.get("starts", F.col("window") + 1), F.size("t")))
-    before = F.filter(F.sequence(F.col("fixed"), F.col("start")), lambda i: F.get("sums", F.col("start")) - F.get("sums", i) <= history)
-    w = w.withColumn("from", F.element_at(before, 1)).withColumn("kept", F.col("fixed") + F.col("start") - F.col("from"))
-    rows = F.concat(F.slice("t", 1, F.col("fixed")), F.slice("t", F.col("from") + 1, F.col("stop") - F.col("from")))
-    w = w.select("conv", "window", rows.alias("rows"), F.when(F.col("window") == 0, 0).otherwise(F.col("kept")).alias("repeated"))
+    w = Window.partitionBy("conv").orderBy("turn", "role", "body")
+    before, upto, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("conv")
+    role = F.coalesce(F.col(role_col), F.lit(""))
+    t = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), escape(F.coalesce(F.col(text_col), F.lit(""))).alias("body"))
+    t = t.withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
+    t = t.withColumn("cost", F.ceil((F.length("head") + F.length("body") + len(END)) / CHARS).cast("long"))
+    t = t.withColumns({"pos": F.row_number().over(w), "led": F.first("role").over(upto) == "system", "lead_cost": F.first("cost").over(upto)})
+    t = t.withColumn("fixed", F.col("led") & (F.col("pos") == 1)).withColumn("new_cost", F.when(F.col("fixed"), 0).otherwise(F.col("cost")))
+    room = F.greatest(F.lit(1).cast("long"), F.floor((F.lit(budget - history) - F.when(F.col("led"), F.col("lead_cost")).otherwise(0)) / 2))
+    t = t.withColumns({"room": room, "sum": F.coalesce(F.sum("new_cost").over(before), F.lit(0))}).withColumn("long", ((F.col("new_cost") > F.col("room"))).cast("int"))
+    part = F.struct(F.sum("long").over(upto) * 2 - F.col("long"), F.floor(F.col("sum") / F.col("room")))
+    t = t.withColumn("part", part).withColumn("begins", ~F.col("fixed") & ((F.col("pos") == 1 + F.col("led").cast("int")) | (F.col("part") != F.lag("part").over(w))))
+    t = t.withColumn("window", F.greatest(F.lit(0), F.sum(F.col("begins").cast("int")).over(upto) - 1).cast("int"))
+    t = t.withColumns({"end": F.max(F.col("sum") + F.col("new_cost")).over(Window.partitionBy("conv", "window")), "last": F.max("window").over(whole)})
+    again = (F.col("window") < F.col("last")) & (F.col("end") - F.col("sum") <= history)
+    own, other = F.array("window"), F.array(F.col("window") + 1)
+    t = t.withColumn("at", F.explode(F.when(F.col("fixed"), F.expr("sequence(0, last)")).when(again, F.concat(own, other)).otherwise(own)))
+    row = F.struct("pos", (F.col("at") > F.col("window")).alias("again"), "role", "head", "body")
+    t = t.groupBy("conv", F.col("at").alias("window")).agg(F.sort_array(F.collect_list(row)).alias("rows")).withColumn("repeated", F.size(F.filter("rows", lambda x: x["again"])))
     spans = F.array().cast("array<struct<start:int,end:int>>")
 
     def place(a, x):
         at = a["at"] + F.length(x["head"])
         end = at + F.length(x["body"])
-        new = (a["i"] >= F.col("repeated")) & (x["role"] == learn)
-        return F.struct((end + len(END)).alias("at"), (a["i"] + 1).alias("i"), F.when(new, F.concat(a["loss"], F.array(F.struct(at.alias("start"), end.alias("end"))))).otherwise(a["loss"]).alias("loss"))
+        new = ~x["again"] & (x["role"] == learn)
+        return F.struct((end + len(END)).alias("at"), F.when(new, F.concat(a["loss"], F.array(F.struct(at.alias("start"), end.alias("end"))))).otherwise(a["loss"]).alias("loss"))
 
-    loss = F.aggregate("rows", F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), spans.alias("loss")), place, lambda a: a["loss"])
-    whole = F.array_join(F.transform("rows", lambda x: F.concat(x["head"], x["body"], F.lit(END))), "")
-    return w.select(F.col("conv").alias(conv_col), "window", whole.alias("text"), loss.alias("loss"), "repeated")
+    loss = F.aggregate("rows", F.struct(F.lit(0).alias("at"), spans.alias("loss")), place, lambda a: a["loss"])
+    text = F.array_join(F.transform("rows", lambda x: F.concat(x["head"], x["body"], F.lit(END))), "")
+    return t.select(F.col("conv").alias(conv_col), "window", text.alias("text"), loss.alias("loss"), "repeated")
 
 
 def read_turns(text: Column, repeated: Column) -> Column:

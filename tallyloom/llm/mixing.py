@@ -49,14 +49,14 @@ def poisson_steps(rate: Column) -> Column:
 
 
 def replication_counts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:
-    """docs with one more column, _copies: each row's Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'."""
+    """(d, id, copies): each row of docs as a struct, its id as text, and its Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'."""
     rates = source_rates(docs, source_col, **how)
     if rates.where(F.col("rate") > 500).limit(1).count():
         raise ValueError("a mean repetition rate above 500: lower total, or raise the weights of larger sources")
-    steps = rates.select(F.col("source").alias("_source"), poisson_steps(F.col("rate")).alias("_steps"))
-    u = hash_52(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))) / F.lit(float(2**52))
-    dealt = docs.withColumn("_u", u).join(steps, F.col(source_col).eqNullSafe(F.col("_source")), "left")
-    return dealt.withColumn("_copies", F.size(F.filter("_steps", lambda s: s <= F.col("_u")))).drop("_source", "_steps", "_u")
+    steps = rates.select(F.col("source").alias("s"), poisson_steps(F.col("rate")).alias("steps"))
+    rows = docs.select(F.struct(*docs.columns).alias("d"), F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"))
+    rows = rows.withColumn("u", hash_52(F.lit(seed), F.col("id")) / F.lit(float(2**52))).join(steps, F.col("source").eqNullSafe(F.col("s")), "left")
+    return rows.select("d", "id", F.size(F.filter("steps", lambda s: s <= F.col("u"))).alias("copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:
@@ -65,10 +65,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", see
     Keeps the columns of docs; a column of docs called copy_no or shuffle_key is replaced. Counts of 0 leave a document out: that is
     the method's down-weighting, and an empty table gives an empty result.
     """
-    rows = replication_counts(docs.drop("copy_no", "shuffle_key"), id_col, source_col, seed, **how)
-    rows = rows.where("_copies > 0").withColumn("copy_no", F.explode(F.expr("sequence(1, _copies)"))).drop("_copies")
-    key = hash_52(F.lit(seed), F.lit("order"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.col("copy_no").cast("string"))
-    return rows.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy_no")
+    docs = docs.drop("copy_no", "shuffle_key")
+    rows = replication_counts(docs, id_col, source_col, seed, **how).where("copies > 0").select("d", "id", F.explode(F.expr("sequence(1, copies)")).alias("copy_no"))
+    rows = rows.select("d.*", "copy_no", hash_52(F.lit(seed), F.lit("order"), F.col("id"), F.col("copy_no").cast("string")).alias("shuffle_key"))
+    return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy_no")
 
 
 def op2_poisson_mixing(spark, sf_dir):

@@ -99,12 +99,14 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     Rows without live spans keep their text, null texts included. Needs unique, non-null ids for the rows to be changed; where ids
     repeat, the spans of equal ids are the same only if their texts are, so rows are matched on the text's hash too.
     """
-    key = [F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash")]
-    rows = docs.withColumns({"_id": key[0], "_hash": key[1]})
-    own = docs.select(F.struct(*key).alias("_key"), text_col, *[c for c in ("source", "lang") if c in docs.columns])
-    live = scan(own, "_key", text_col, **how).where(F.size("live") > 0).select("_key._id", "_key._hash", "live").dropDuplicates(["_id", "_hash"])
-    out = rows.join(live, (rows["_id"].eqNullSafe(live["_id"])) & (rows["_hash"] == live["_hash"]), "left").drop(live["_id"], live["_hash"])
-    return out.withColumn(text_col, F.when(F.col("live").isNotNull(), cut(F.col(text_col), F.col("live"), mark)).otherwise(F.col(text_col))).select(docs.columns)
+    key = [F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash")]
+    rows = docs.select(F.struct(*docs.columns).alias("d"), *key)
+    own = docs.select(F.struct(*key).alias("key"), text_col, *[c for c in ("source", "lang") if c in docs.columns])
+    live = scan(own, "key", text_col, **how).where(F.size("live") > 0).select(F.col("key.id").alias("i"), F.col("key.hash").alias("h"), "live").dropDuplicates(["i", "h"])
+    out = rows.join(live, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left")
+    text = F.col("d")[text_col]
+    text = F.when(F.col("live").isNotNull(), cut(text, F.col("live"), mark)).otherwise(text)
+    return out.select(*[(text if c == text_col else F.col("d")[c]).alias(c) for c in docs.columns])
 
 
 def cut(text: Column, spans: Column, mark: str) -> Column:

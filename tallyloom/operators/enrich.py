@@ -35,7 +35,7 @@ def nearest_rank(metric: str, percent: int) -> Column:
     """Aggregate: the value at index floor(n * percent / 100), at most the last, of the sorted values."""
     values = F.array_sort(F.collect_list(metric))
     n = F.count(metric)
-    return F.try_element_at(values, (F.least(F.floor(n * percent / 100), n - 1) + 1).cast("int"))
+    return F.get(values, F.least(F.floor(n * percent / 100), n - 1).cast("int"))
 
 
 def z_flags(df: DataFrame, metric: str, within: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions import kpi, parsing
 from tallyloom.sources import facts
@@ -18,7 +19,7 @@ from tallyloom.sources import facts
 MATCH, WEEKS, FLOW = 0.85, 4, 3
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(new: pd.Series, known: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio; the order of the two matters."""
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else None for a, b in zip(new, known)])
