@@ -29,7 +29,7 @@ class Roll:
             self.path = f"{self.folder}/{uuid.uuid4().hex}{self.suffix}"
             system, path = _at(self.path)
             system.create_dir(path.rpartition("/")[0], recursive=True)
-            self.out = system.open_output_stream(path)
+            self.out = system.open_output_stream(path, compression=None)  # else guessed from the suffix
             self.out.write(self.head)
             self.size = len(self.head)
         at = self.size
@@ -66,6 +66,6 @@ class Ranges:
 
 def stream(path: str, chunk: int = 1 << 20):
     system, at = _at(path)
-    with system.open_input_stream(at) as f:
+    with system.open_input_stream(at, compression=None) as f:
         while data := f.read(chunk):
             yield data

@@ -75,15 +75,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 def members(path: str):
     """The gzip members of a file, one after another."""
-    unpack, out = zlib.decompressobj(31), []
+    unpack, out = None, []
     for data in stream(path):
         while data:
+            unpack = unpack or zlib.decompressobj(31)
             out.append(unpack.decompress(data))
             if not unpack.eof:
                 break
             yield b"".join(out)
-            data, unpack, out = unpack.unused_data, zlib.decompressobj(31), []
-    if any(out):
+            data, unpack, out = unpack.unused_data, None, []
+    if unpack is not None:
         raise ValueError(f"{path} ends within a record")
 
 
