@@ -27,6 +27,8 @@ KINDS = ("assign", "access", "hex", "live")
 OWNERS, REPOSITORIES = 2, 3
 
 _assign, _access, _hex = re.compile(ASSIGN), re.compile(ACCESS), re.compile(HEX)
+#: Holds wherever a base span can be; texts without it need no scan and meet no join.
+MAY = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}"
 CANDIDATES = "array<struct<kind:int,start:int,end:int,value:long>>"
 
 
@@ -96,17 +98,19 @@ def spans_text(found: Column, live: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "<secret>", **how) -> DataFrame:
     """docs with every live-looking span of text_col replaced by mark; overlapping spans become one. Copied examples stay.
 
-    Rows without live spans keep their text, null texts included. Needs unique, non-null ids for the rows to be changed; where ids
-    repeat, the spans of equal ids are the same only if their texts are, so rows are matched on the text's hash too.
+    Rows without live spans keep their text, null texts included. Spans meet their rows by id and the text's hash, so ids may repeat or
+    be null. Texts that can hold no secret are neither scanned nor shuffled.
     """
+    may = F.coalesce(F.col(text_col).rlike(MAY), F.lit(False))
+    some = docs.where(may)
     key = [F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash")]
-    rows = docs.select(F.struct(*docs.columns).alias("d"), *key)
-    own = docs.select(F.struct(*key).alias("key"), text_col, *[c for c in ("source", "lang") if c in docs.columns])
+    rows = some.select(F.struct(*docs.columns).alias("d"), *key)
+    own = some.select(F.struct(*key).alias("key"), text_col, *[c for c in ("source", "lang") if c in docs.columns])
     live = scan(own, "key", text_col, **how).where(F.size("live") > 0).select(F.col("key.id").alias("i"), F.col("key.hash").alias("h"), "live").dropDuplicates(["i", "h"])
     out = rows.join(live, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h")), "left")
     text = F.col("d")[text_col]
     text = F.when(F.col("live").isNotNull(), cut(text, F.col("live"), mark)).otherwise(text)
-    return out.select(*[(text if c == text_col else F.col("d")[c]).alias(c) for c in docs.columns])
+    return out.select(*[(text if c == text_col else F.col("d")[c]).alias(c) for c in docs.columns]).unionByName(docs.where(~may))
 
 
 def cut(text: Column, spans: Column, mark: str) -> Column:
