@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import hash_52, table
+from tallyloom.llm.common import hash_52, stored, table
 
 SEED = "mix-1"
 #: Without given weights a source's target weight is (its documents) ** POWER.
 POWER = 0.5
 #: The distribution is inverted up to this many standard deviations, and a few counts, above its mean: a tail below 2**-52.
 REACH = 10
+#: So many sources' distributions are broadcast at most, 750 numbers each; documents meet more by a shuffle over SALTS parts of each source.
+SOURCES, SALTS = 10_000, 32
 
 
 def source_rates(docs: DataFrame, source_col: str = "source", weights: DataFrame | None = None, total: float | None = None, power: float = POWER) -> DataFrame:
@@ -50,12 +52,19 @@ def poisson_steps(rate: Column) -> Column:
 
 def replication_counts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:
     """(d, id, copies): each row of docs as a struct, its id as text, and its Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'."""
-    rates = source_rates(docs, source_col, **how)
-    if rates.where(F.col("rate") > 500).limit(1).count():
+    rates = stored(source_rates(docs, source_col, **how), "rates")
+    found = rates.agg(F.count("*").alias("n"), F.max("rate").alias("top")).first()
+    if (found.top or 0) > 500:
         raise ValueError("a mean repetition rate above 500: lower total, or raise the weights of larger sources")
     steps = rates.select(F.col("source").alias("s"), poisson_steps(F.col("rate")).alias("steps"))
     rows = docs.select(F.struct(*docs.columns).alias("d"), F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"))
-    rows = rows.withColumn("u", hash_52(F.lit(seed), F.col("id")) / F.lit(float(2**52))).join(steps, F.col("source").eqNullSafe(F.col("s")), "left")
+    rows = rows.withColumn("u", hash_52(F.lit(seed), F.col("id")) / F.lit(float(2**52)))
+    same = F.col("source").eqNullSafe(F.col("s"))
+    if found.n <= SOURCES:
+        rows = rows.join(F.broadcast(steps), same, "left")
+    else:
+        parts = steps.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.spark_partition_id() % SALTS).join(parts, same & (F.col("salt") == F.col("part")), "left")
     return rows.select("d", "id", F.size(F.filter("steps", lambda s: s <= F.col("u"))).alias("copies"))
 
 

@@ -133,6 +133,14 @@ def test_mixing_rates_and_repeatability(spark):
     assert abs(u[0] - 3) < 0.3 and abs(u[1] - 3) < 0.6  # a Poisson distribution's mean and variance agree
 
 
+def test_many_sources_meet_by_salted_parts(spark, docs, monkeypatch):
+    few = mixing.mix(docs, total=60.0)
+    monkeypatch.setattr(mixing, "SOURCES", 1)
+    many = mixing.mix(docs, total=60.0)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().toString() and many.count() == few.count() > 0
+    assert many.exceptAll(few).count() == few.exceptAll(many).count() == 0
+
+
 def test_mixing_edge_cases(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
     out = mixing.mix(docs.withColumns({"copy_no": F.lit("x"), "rate": F.lit(1), "n": F.lit(2), "d": F.lit(3)}))
