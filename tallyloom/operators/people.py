@@ -30,6 +30,8 @@ def best_match(new: DataFrame, known: DataFrame, block: str, least: float = MATC
     names = known.select(F.col(block).alias("_block"), F.col("name").alias("known_name")).distinct()
     exact = new.join(names, (F.col(block) == F.col("_block")) & (F.col("name") == F.col("known_name")), "left").drop("_block")
     rest = exact.where("known_name IS NULL").drop("known_name").join(names, F.col(block) == F.col("_block")).drop("_block")
+    a, b = F.length("name"), F.length("known_name")
+    rest = rest.where(F.least(a, b) * 2 >= (a + b) * least)  # no ratio is above this bound
     rest = rest.withColumn("ratio", similarity(F.col("name"), F.col("known_name"))).where(F.col("ratio") >= least)
     found = rest.groupBy(*new.columns).agg(F.max_by(F.struct("known_name", "ratio"), F.struct("ratio", "known_name")).alias("m")).select(*new.columns, "m.*")
     return exact.where("known_name IS NOT NULL").select(*new.columns, "known_name", F.lit(1.0).alias("ratio")).unionByName(found)
@@ -38,8 +40,8 @@ def best_match(new: DataFrame, known: DataFrame, block: str, least: float = MATC
 def moves(visits: DataFrame) -> DataFrame:
     """One row a visit at another location than the person's visit before: from, to, day, both visits' worth, and whether the person had been there."""
     w = Window.partitionBy("person").orderBy("day", "visit")
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    rows = visits.withColumns({"from_loc": F.lag("loc_name").over(w), "prior_revenue": F.lag("revenue").over(w), "prior_lines": F.lag("n_lines").over(w), "prior_day": F.lag("day").over(w), "returns": F.array_contains(F.collect_set("loc_name").over(prior), F.col("loc_name"))})
+    here = Window.partitionBy("person", "loc_name").orderBy("day", "visit")  # within the shuffle by person
+    rows = visits.withColumns({"from_loc": F.lag("loc_name").over(w), "prior_revenue": F.lag("revenue").over(w), "prior_lines": F.lag("n_lines").over(w), "prior_day": F.lag("day").over(w), "returns": F.row_number().over(here) > 1})
     return rows.where("from_loc <> loc_name").withColumnRenamed("loc_name", "to_loc")
 
 
