@@ -13,7 +13,8 @@ from tallyloom.sources.tables import parquet
 #: Weeks away after which somebody counts as inactive; cents that a total may differ from its parts.
 ABSENT, CENTS = 3, 2
 # Labels of role groups in reports, and the last words of such labels.
-ROLES, ROLE_ENDS = ("shift leader", "total", "grand total"), ("coach", "owner", "manager", "stylist")
+ROLES = ("manager", "shift leader", "stylist", "total", "trainer", "front desk", "assistant", "grand total", "receptionist", "coach", "owner", "business coach", "franchise owner")
+ROLE_ENDS = ("coach", "owner", "manager", "stylist", "leader", "trainer")
 #: Words in an address and the place they stand for.
 PLACES = (("www.example", "head office"), ("example", "franchise"), (".org", "charity"), (".net", "network"))
 
