@@ -19,6 +19,8 @@ POWER = 0.5
 REACH = 10
 #: So many sources' distributions are broadcast at most, 750 numbers each; documents meet more by a shuffle over SALTS parts of each source.
 SOURCES, SALTS = 10_000, 32
+#: Up to this mean exp(-rate) is still exact; a larger one is drawn as the sum of several counts of equal means.
+MEAN = 500
 
 
 def source_rates(docs: DataFrame, source_col: str = "source", weights: DataFrame | None = None, total: float | None = None, power: float = POWER) -> DataFrame:
@@ -39,7 +41,7 @@ def source_rates(docs: DataFrame, source_col: str = "source", weights: DataFrame
 
 
 def poisson_steps(rate: Column) -> Column:
-    """Poisson probabilities of 0, 1, 2, ... added up, as an array. Means up to 500, where exp(-rate) is still exact."""
+    """Poisson probabilities of 0, 1, 2, ... added up, as an array. Means up to MEAN."""
     top = F.ceil(rate + REACH * F.sqrt(rate) + 20).cast("int")
     first = F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("steps"))
 
@@ -51,21 +53,30 @@ def poisson_steps(rate: Column) -> Column:
 
 
 def replication_counts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:
-    """(d, id, copies): each row of docs as a struct, its id as text, and its Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'."""
+    """(d, id, copies): each row of docs as a struct, its id as text, and its Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'.
+
+    A rate above MEAN is drawn as the sum of independent counts, each of an equal part of it; that is Poisson too. A given total that
+    asks for such a rate is refused.
+    """
     rates = stored(source_rates(docs, source_col, **how), "rates")
     found = rates.agg(F.count("*").alias("n"), F.max("rate").alias("top")).first()
-    if (found.top or 0) > 500:
-        raise ValueError("a mean repetition rate above 500: lower total, or raise the weights of larger sources")
-    steps = rates.select(F.col("source").alias("s"), poisson_steps(F.col("rate")).alias("steps"))
+    if how.get("total") is not None and (found.top or 0) > MEAN:
+        raise ValueError(f"a mean repetition rate above {MEAN}: lower total, or raise the weights of larger sources")
+    rates = rates.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN)).cast("int"))
+    steps = rates.select(F.col("source").alias("s"), "draws", poisson_steps(F.col("rate") / F.col("draws")).alias("steps"))
     rows = docs.select(F.struct(*docs.columns).alias("d"), F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"))
-    rows = rows.withColumn("u", hash_52(F.lit(seed), F.col("id")) / F.lit(float(2**52)))
+    even = lambda *parts: hash_52(F.lit(seed), *parts, F.col("id")) / F.lit(float(2**52))
+    rows = rows.withColumn("u", even())
     same = F.col("source").eqNullSafe(F.col("s"))
     if found.n <= SOURCES:
         rows = rows.join(F.broadcast(steps), same, "left")
     else:
         parts = steps.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rows = rows.withColumn("salt", F.spark_partition_id() % SALTS).join(parts, same & (F.col("salt") == F.col("part")), "left")
-    return rows.select("d", "id", F.size(F.filter("steps", lambda s: s <= F.col("u"))).alias("copies"))
+    count = lambda u: F.size(F.filter("steps", lambda s: s <= u))
+    more = F.transform(F.sequence(F.lit(2), F.col("draws")), lambda i: even(F.lit("draw"), i.cast("string")))
+    more = F.aggregate(more, F.lit(0), lambda n, u: n + count(u))
+    return rows.select("d", "id", (count(F.col("u")) + F.when(F.col("draws") > 1, more).otherwise(0)).alias("copies"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:

@@ -151,6 +151,17 @@ def test_mixing_edge_cases(spark, docs, empty):
         mixing.mix(docs, total=1e6)
 
 
+def test_a_tiny_source_beside_a_large_one_is_drawn(spark):
+    rows = spark.range(400_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") > 0, "large").alias("source"))
+    n = {r.source: r["count"] for r in mixing.mix(rows).groupBy("source").count().collect()}
+    assert abs(n[None] - 400_000 / (1 + 399_999**0.5)) < 8 * 632**0.5 and n["large"] > 390_000
+    rows = spark.range(2_400_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "small").otherwise("large").alias("source"))
+    weights = spark.createDataFrame([("small", 1.0)], "source string, weight double")
+    u = mixing.replication_counts(rows, weights=weights).groupBy("d.source").agg(F.avg("copies").alias("mean"), F.variance("copies").alias("var"))
+    u = {r.source: r for r in u.collect()}
+    assert abs(u["small"].mean - 1200) < 5 and 0.85 < u["small"]["var"] / 1200 < 1.15 and u["large"].mean == 0
+
+
 # --- URLs
 
 
