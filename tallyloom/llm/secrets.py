@@ -23,7 +23,7 @@ HEX = r"[0-9a-f]{24,}"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "live")
 
-#: A value of at most this many owners, in at most this many repositories, looks live.
+#: A value looks live unless it has more owners than this, and is in more repositories than this: only then it is a copied example.
 OWNERS, REPOSITORIES = 2, 3
 
 _assign, _access, _hex = re.compile(ASSIGN), re.compile(ACCESS), re.compile(HEX)
@@ -66,7 +66,7 @@ def ownership(found: DataFrame, owners: int = OWNERS, repositories: int = REPOSI
     """(value, owners, repositories, live) of every candidate hash in found(_owner, _repository, found); null counts as one owner."""
     each = found.select(F.explode("found.value").alias("value"), F.coalesce("_owner", F.lit("")).alias("o"), F.coalesce("_repository", F.lit("")).alias("r")).distinct()
     counts = each.groupBy("value", "o").agg(F.count("*").alias("r")).groupBy("value").agg(F.count("*").alias("owners"), F.sum("r").alias("repositories"))
-    return counts.withColumn("live", (F.col("owners") <= owners) & (F.col("repositories") <= repositories))
+    return counts.withColumn("live", (F.col("owners") <= owners) | (F.col("repositories") <= repositories))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: Column | None = None, repository: Column | None = None, **bounds) -> DataFrame:

@@ -327,6 +327,15 @@ def test_copied_examples_and_live_secrets(spark):
     assert got[0].base_sha256 == hashlib.sha256(b"access:6:26").hexdigest()
 
 
+def test_one_owner_with_many_repositories_is_not_copied(spark):
+    key = "AKIA" + "D" * 16
+    rows = [(i, f"see {key}", lang, "src1", 1) for i, lang in enumerate(("de", "en", "es", "fr"))]
+    docs = spark.createDataFrame(rows, DOCS).unionByName(secret_rows(spark).where("doc_id < 6").withColumn("doc_id", F.col("doc_id") + 100))
+    got = {r.doc_id: [tuple(s) for s in r.live] for r in secrets.scan(docs).collect()}
+    assert all(got[i] == [(4, 24)] for i in range(4)) and all(not got[100 + i] for i in range(6))
+    assert all(("AKIA" in r.text) == (r.doc_id >= 100) for r in secrets.redact(docs).collect())
+
+
 def test_redaction(spark, empty):
     docs = secret_rows(spark).withColumns({"live": F.lit("clash"), "_row": F.lit(1)})
     out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
