@@ -137,6 +137,11 @@ def transfer_matrix(spark, sf_dir):
     return wide.withColumnsRenamed({t: f"to_{t.lower()}" for t in to}).join(m.groupBy("from_loc").agg(F.count("*").alias("to_all")), "from_loc")
 
 
+def transfer_pairs(spark, sf_dir):
+    """Moves of every pair of locations; transfer_matrix shows four destinations of them."""
+    return moves(facts.visits(spark, sf_dir)).groupBy("from_loc", "to_loc").agg(F.count("*").alias("n"))
+
+
 def career_paths(spark, sf_dir):
     """The first three locations of each person in order, as paths that at least two people share."""
     w = Window.partitionBy("person").orderBy("day", "visit")
@@ -175,7 +180,7 @@ def confirmed_moves(spark, sf_dir):
     return out.select("person", "visit", F.col("before").alias("from_loc"), F.col("loc_name").alias("to_loc"), "state", F.when(F.col("state") == "confirmed", F.col("next_day")).alias("confirmed_on"))
 
 
-QUERIES = {f.__name__: f for f in (name_normalize, stable_ids, fuzzy_match, tenure_weeks, transfer_edges, transfer_confidence_factors, transfer_impact_prepost, talent_flow, transfer_matrix, career_paths, location_effect_score, event_log_final_state, confirmed_moves)}
+QUERIES = {f.__name__: f for f in (name_normalize, stable_ids, fuzzy_match, tenure_weeks, transfer_edges, transfer_confidence_factors, transfer_impact_prepost, talent_flow, transfer_matrix, transfer_pairs, career_paths, location_effect_score, event_log_final_state, confirmed_moves)}
 
 _NAME = "'annmarie ' || translate(regexp_extract(stylist_name, '(\\d+)', 1), '0123456789', 'abcdefghij')"
 _MOVES = f"""{facts.VISITS_SQL},
@@ -202,6 +207,7 @@ SELECT *, CASE WHEN revenue_change >= 0.1::DOUBLE AND lines_change >= 0.05::DOUB
     "talent_flow": f"""WITH {_MOVES}, e AS (SELECT to_loc AS loc_name, 1 AS i, 0 AS o FROM moves UNION ALL SELECT from_loc, 0, 1 FROM moves), t AS (SELECT loc_name, sum(i)::BIGINT AS moves_in, sum(o)::BIGINT AS moves_out, (sum(i) - sum(o))::BIGINT AS net FROM e GROUP BY 1)
 SELECT *, CASE WHEN net >= {FLOW} THEN 'destination' WHEN net <= -{FLOW} THEN 'source' ELSE 'balanced' END AS kind FROM t""",
     "transfer_matrix": f"WITH {_MOVES} SELECT from_loc, " + ", ".join(f"count(*) FILTER (to_loc = 'NATION_{i}') AS to_nation_{i}" for i in range(4)) + ", count(*) AS to_all FROM moves GROUP BY 1",
+    "transfer_pairs": f"WITH {_MOVES} SELECT from_loc, to_loc, count(*) AS n FROM moves GROUP BY 1, 2",
     "career_paths": f"""WITH {_MOVES}, k AS (SELECT person, loc_name, row_number() OVER (PARTITION BY person ORDER BY day, visit) AS step FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name),
 p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY step) AS path FROM k WHERE step <= 3 GROUP BY 1) SELECT path, count(*) AS n_people FROM p GROUP BY 1 HAVING count(*) >= 2""",
     "location_effect_score": f"""WITH {_MOVES}, l AS (SELECT person, arg_max(loc_name, (day, visit)) AS last_loc FROM visits GROUP BY 1),

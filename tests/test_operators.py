@@ -234,3 +234,12 @@ def test_report_files(spark, tmp_path):
     assert (r.bucket, r.week_ending, r.text) == ("b", D(2026, 5, 24), "<p>hé</p>")
     (tmp_path / "e.jsonl").write_text('{"a": 1}\nbad\n{"a": 2}\n')
     assert values(json_lines(spark, str(tmp_path / "e.jsonl"), "a int").where("a IS NOT NULL").orderBy("a"), "a") == [(1,), (2,)]
+
+
+def test_transfer_pairs_hold_every_destination(spark):
+    from tallyloom.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    pairs = QUERIES["transfer_pairs"](spark, folder).collect()
+    total = {r.from_loc: r.to_all for r in QUERIES["transfer_matrix"](spark, folder).collect()}
+    assert {f: sum(r.n for r in pairs if r.from_loc == f) for f in total} == total and len({r.to_loc for r in pairs}) > 4
