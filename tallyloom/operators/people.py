@@ -150,6 +150,18 @@ def career_paths(spark, sf_dir):
     return p.groupBy("path").agg(F.count("*").alias("n_people")).where("n_people >= 2")
 
 
+def paths(visits: DataFrame) -> DataFrame:
+    """(person, path): the whole sequence of a person's locations, in order."""
+    w = Window.partitionBy("person").orderBy("day", "visit")
+    v = visits.withColumn("before", F.lag("loc_name").over(w)).where("before IS NULL OR before <> loc_name")
+    return v.groupBy("person").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("day", "visit", "loc_name"))), lambda x: x["loc_name"]), " > ").alias("path"))
+
+
+def career_paths_whole(spark, sf_dir):
+    """Whole paths that at least two people share; career_paths shows their first three locations."""
+    return paths(facts.visits(spark, sf_dir)).groupBy("path").agg(F.count("*").alias("n_people")).where("n_people >= 2")
+
+
 def location_effect_score(spark, sf_dir):
     """0 to 100 from what moves to a location change, and how many of its newcomers visit it last."""
     v = facts.visits(spark, sf_dir)
@@ -180,7 +192,7 @@ def confirmed_moves(spark, sf_dir):
     return out.select("person", "visit", F.col("before").alias("from_loc"), F.col("loc_name").alias("to_loc"), "state", F.when(F.col("state") == "confirmed", F.col("next_day")).alias("confirmed_on"))
 
 
-QUERIES = {f.__name__: f for f in (name_normalize, stable_ids, fuzzy_match, tenure_weeks, transfer_edges, transfer_confidence_factors, transfer_impact_prepost, talent_flow, transfer_matrix, transfer_pairs, career_paths, location_effect_score, event_log_final_state, confirmed_moves)}
+QUERIES = {f.__name__: f for f in (name_normalize, stable_ids, fuzzy_match, tenure_weeks, transfer_edges, transfer_confidence_factors, transfer_impact_prepost, talent_flow, transfer_matrix, transfer_pairs, career_paths, career_paths_whole, location_effect_score, event_log_final_state, confirmed_moves)}
 
 _NAME = "'annmarie ' || translate(regexp_extract(stylist_name, '(\\d+)', 1), '0123456789', 'abcdefghij')"
 _MOVES = f"""{facts.VISITS_SQL},
@@ -210,6 +222,8 @@ SELECT *, CASE WHEN net >= {FLOW} THEN 'destination' WHEN net <= -{FLOW} THEN 's
     "transfer_pairs": f"WITH {_MOVES} SELECT from_loc, to_loc, count(*) AS n FROM moves GROUP BY 1, 2",
     "career_paths": f"""WITH {_MOVES}, k AS (SELECT person, loc_name, row_number() OVER (PARTITION BY person ORDER BY day, visit) AS step FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name),
 p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY step) AS path FROM k WHERE step <= 3 GROUP BY 1) SELECT path, count(*) AS n_people FROM p GROUP BY 1 HAVING count(*) >= 2""",
+    "career_paths_whole": f"""WITH {_MOVES}, p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY day, visit) AS path FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name GROUP BY 1)
+SELECT path, count(*) AS n_people FROM p GROUP BY 1 HAVING count(*) >= 2""",
     "location_effect_score": f"""WITH {_MOVES}, l AS (SELECT person, arg_max(loc_name, (day, visit)) AS last_loc FROM visits GROUP BY 1),
 t AS (SELECT to_loc AS loc_name, count(*) AS n_moves, round(avg((revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)), 6) AS ticket_effect, round(avg((n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)), 6) AS guest_effect, count(*) FILTER (last_loc = to_loc)::DOUBLE / count(*) AS retention FROM moves JOIN l USING (person) GROUP BY 1),
 s AS (SELECT *, floor({_100.format(v='ticket_effect')} * 0.25 + {_100.format(v='guest_effect')} * 0.25 + 12.5 + retention * 100 * 0.25 + 0.5)::BIGINT AS effect_score FROM t)

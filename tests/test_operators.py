@@ -243,3 +243,11 @@ def test_transfer_pairs_hold_every_destination(spark):
     pairs = QUERIES["transfer_pairs"](spark, folder).collect()
     total = {r.from_loc: r.to_all for r in QUERIES["transfer_matrix"](spark, folder).collect()}
     assert {f: sum(r.n for r in pairs if r.from_loc == f) for f in total} == total and len({r.to_loc for r in pairs}) > 4
+
+
+def test_paths_go_beyond_three_locations(spark):
+    from tallyloom.operators import people
+
+    rows = [(p, d, d, loc) for p, locs in ((1, "ABBCDE"), (2, "ABCDE"), (3, "ABCDA")) for d, loc in enumerate(locs)]
+    got = people.paths(spark.createDataFrame(rows, "person long, visit long, day int, loc_name string")).collect()
+    assert {r.person: r.path for r in got} == {1: "A > B > C > D > E", 2: "A > B > C > D > E", 3: "A > B > C > D > A"}
