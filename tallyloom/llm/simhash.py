@@ -207,9 +207,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fewer(fps.join(named, "fp", "left")).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", by=near_duplicates, **how) -> DataFrame:
     """The rows of docs whose id names their component; of rows with equal ids one stays, and so does every row without an id."""
-    keep = near_duplicates(docs, id_col, **how).where(F.col("component_id") == F.col(id_col)).select(id_col).distinct()
+    keep = by(docs, id_col, **how).where(F.col("component_id") == F.col(id_col)).select(id_col).distinct()
     one = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
     return one.dropDuplicates([id_col]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from oracle import connect, same
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, chat, components, embeddings, media, mixing, quality, queries, secrets, simhash, urls, warc
+from tallyloom.llm import bpe, chat, components, embeddings, media, mixing, quality, queries, secrets, shingles, simhash, urls, warc
 from tallyloom.llm.files import Ranges
 
 FOLDER = "/root/testdata/sf0.001"
@@ -115,6 +115,40 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+# --- near-duplicates of the pipeline, by shingles
+
+
+def plain_similar(texts, words=5):
+    """Least index of each text's component over links of similarity 0.8."""
+    sets = []
+    for t in texts:
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), t or "").encode().split()
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    of = list(range(len(texts)))
+    like = [[j for j, b in enumerate(sets) if a == b or a and b and 5 * len(a & b) >= 4 * len(a | b)] for a in sets]
+    for _ in texts:
+        for i, near in enumerate(like):
+            of[i] = min([of[i], *(of[j] for j in near)])
+    return of
+
+
+@pytest.mark.parametrize("part", [1024, 8])
+def test_near_copies_leave_the_pipeline(spark, texts, monkeypatch, part):
+    import corpus_pipeline
+
+    monkeypatch.setattr(shingles, "PART", part)
+    rng = np.random.default_rng(8)
+    base = [document(rng, 60) for _ in range(40)]
+    edited = [" ".join(x if i != 30 else "omega" for i, x in enumerate(t.split())) for t in base]  # 51 of 61 shingles shared: 0.836
+    hot = [" ".join([*base[0].split()[:58], f"end{i}"]) for i in range(60)]
+    rows = [*base, *edited, *hot, *texts]
+    docs = spark.createDataFrame([(i, t, "en", "src", 1) for i, t in enumerate(rows)] + [(None, base[0], "en", "src", 1)], DOCS)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()
+    want = {i for i, c in enumerate(plain_similar(rows)) if i == c}
+    assert {r.doc_id for r in got} == want | {None} and len(got) == len(want) + 1 and not want & set(range(40, 140))
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), FOLDER).count() == 0
+
+
 # --- mixing
 
 
