@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A key with more than one in HOT of all rows, and HOT_ROWS at least, is hot.
+HOT, HOT_ROWS = 1000, 500
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -44,6 +46,19 @@ def stored(df: DataFrame, label: str, **how) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """The keys of counts(keys, n) that hold more than one in HOT of all rows, and HOT_ROWS at least: fewer than HOT keys, so they can be broadcast."""
+    share = counts.agg(F.greatest(F.sum(n) / HOT, F.lit(HOT_ROWS)).alias("share")).scalar()
+    return stored(counts.where(F.col(n) > share).select(*keys), "hot", rows=HOT)
+
+
+def join_skewed(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with side, which has one row a key. Rows with hot keys meet their rows of side, fewer than HOT, by broadcast, so no task takes a key whole."""
+    hot = F.broadcast(hot)
+    dealt = rows.join(hot, keys, "left_semi").join(F.broadcast(side.join(hot, keys, "left_semi")), keys, how)
+    return dealt.unionByName(rows.join(hot, keys, "left_anti").join(side, keys, how))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -475,7 +475,43 @@ def test_embedding_query(spark):
 
 def test_embeddings_of_nothing(spark):
     assert embeddings.near_duplicates(vectors(spark).limit(0)).count() == 0
-    assert embeddings.passes_for(10) < embeddings.passes_for(10**6) < embeddings.passes_for(10**9) < 400
+    assert embeddings.projection_links(spark.createDataFrame([], "node long, label int, vec binary"), "<f8").count() == 0
+
+
+def test_hashes_agree_more_the_nearer_two_vectors_are():
+    cosines, chance = embeddings.agreement()
+    assert (np.diff(chance) >= 0).all() and chance[-1] == 1 and np.interp(0.93, cosines, chance) > 0.5 > np.interp(0.5, cosines, chance)
+
+
+def dense_label(rng, n=6400, planted=400, width=64):
+    """Vectors of one label at pairwise cosines of about 0.8, the last `planted` of them each at 0.935 with one of the first."""
+    mean = rng.standard_normal(width)
+    mean /= np.linalg.norm(mean)
+
+    def at(c, of, away):
+        away = away - (away @ of)[:, None] * of if of.ndim == 1 else away - (away * of).sum(1)[:, None] * of
+        return c * of + np.sqrt(1 - c * c) * away / np.linalg.norm(away, axis=1)[:, None]
+
+    base = at(np.sqrt(0.8), mean, rng.standard_normal((n - planted, width)))
+    return np.concatenate([base, at(0.935, base[:planted], rng.standard_normal((planted, width)))])
+
+
+@pytest.mark.parametrize(("partitions", "rest"), [(8, 4096), (200, 0)])
+def test_embeddings_of_a_dense_label(spark, partitions, rest):
+    """Recall at a dense hot label; without blocks (rest 0) the passes alone must come near it."""
+    x = dense_label(np.random.default_rng(1))
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    rows = embeddings.stored(rows, "dense")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = np.array([r.n_links for r in embeddings.near_duplicates(rows, rest=rest).orderBy("vec_id").collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    like = x @ x.T >= embeddings.THRESHOLD
+    want = like.sum(axis=1) - 1
+    assert want.sum() >= 800 and (got <= want).all()
+    assert got.sum() >= 0.99 * want.sum()
 
 
 # --- chats
