@@ -213,21 +213,26 @@ def plain_verdicts(urls_):
         return max(fit)[1:] if fit else (None, None)
 
     rows = [(*parts(u), *rule(*parts(u))) for u in urls_]
-    fold = lambda h, p: re.sub(r"[^a-z0-9./_-]", "*", re.sub("[A-Z]", lambda x: x[0].lower(), h + p))
-    grams = lambda t: [f"^^{t}$"[i : i + 3] for i in range(len(t) + 1)]
-    sides = {}
-    for h, p, _, v in rows:
-        sides.setdefault(fold(h, p), set()).add(v)
-    held = lambda t: zlib.crc32(t.encode()) % urls.FOLDS == 0
-    counts = {v: [Counter(g[k:] for t, s in sides.items() if v in s and not held(t) for g in grams(t)) for k in (2, 1, 0)] for v in ("allow", "block")}
+    before = urls.ORDER - 1
+    grams = lambda t: [f"{urls.START * before}{t}{urls.END}"[i : i + urls.ORDER] for i in range(len(t) + 1)]
+    sides = {u or "": {v} for u, (_, _, _, v) in zip(urls_, rows)}
+    held = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:13], 16) % urls.FOLDS == 0
+    counts = {v: [Counter(g[-k:] for t, s in sides.items() if v in s and not held(t) for g in grams(t)) for k in range(1, urls.ORDER + 1)] for v in ("allow", "block")}
+    contexts = {v: [Counter() for _ in c] for v, c in counts.items()}
+    kinds = {v: [Counter(y[:-1] for y in level) for level in c] for v, c in counts.items()}
+    for v, c in counts.items():
+        for k, level in enumerate(c):
+            for y, n in level.items():
+                contexts[v][k][y[:-1]] += n
+    symbols = len({g[-1] for t in sides for g in grams(t)})
 
     def chance(v, g):
-        p = 1 / urls.SYMBOLS
-        for k, c in enumerate(counts[v]):
-            at = g[2 - k : 2]
-            n, kinds = sum(x for y, x in c.items() if y[:-1] == at), sum(1 for y in c if y[:-1] == at)
-            if n:
-                p = (c[g[2 - k :]] + kinds * p) / (n + kinds)
+        p = 1 / symbols
+        for k, c in enumerate(counts[v], 1):
+            at = g[-k:-1]
+            if n := contexts[v][k - 1][at]:
+                t = kinds[v][k - 1][at]
+                p = (c[g[-k:]] + t * p) / (n + t)
         return p
 
     known = all(sum(c[0].values()) for c in counts.values())
@@ -237,12 +242,12 @@ def plain_verdicts(urls_):
     if all(side.values()):
         (a, sa), (b, sb) = ((np.mean(side[v]), np.std(side[v]) + 1) for v in ("allow", "block"))
         cut = (a * sb + b * sa) / (sa + sb)
-    return [(h, p, r, v or ("allow" if score[fold(h, p)] >= cut else "block")) for h, p, r, v in rows]
+    return [(h, p, r, v or ("allow" if score[u or ""] >= cut else "block")) for u, (h, p, r, v) in zip(urls_, rows)]
 
 
 def test_urls_against_plain_python(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet").select("page_id", "url").limit(80)
-    odd = ["http://A.com", "http://www.Example.com/en/x?y", "https://sub.example.com/en/", "http://example.com/EN/", "x://net/es/a", "http://anet/es/", "no scheme", "", None, "a://b://c.com/", "http://xcom/", "http://com/#f", "ftp://u.net/fr/\nz", "http://é.org/ü"]
+    odd = ["http://A.com", "http://www.Example.com/en/x?y", "https://sub.example.com/en/", "http://example.com/EN/", "x://net/es/a", "http://anet/es/", "no scheme", "", None, "a://b://c.com/", "http://xcom/", "http://com/#f", "ftp://u.net/fr/\nz", "http://é.org/ü", "http://😀.org/漢字?q=😀", "http://a.org/x\x02"]
     rows = pages.unionByName(spark.createDataFrame([(None if i == 3 else 10_000 + i, u) for i, u in enumerate(odd + odd[:2])], "page_id long, url string"))
     got = urls.judge(rows.withColumns({"text": F.lit(1), "gram": F.lit(2), "score": F.lit(3)})).orderBy("host", "path", "rule").collect()
     assert len(got) == rows.count()
@@ -256,6 +261,19 @@ def test_urls_without_rules_or_rows(spark):
     assert urls.judge(rows.limit(0)).count() == 0
 
 
+def test_url_query(spark):
+    same(queries.QUERIES["op3_url_filters"](spark, FOLDER).toPandas(), connect(FOLDER).execute(queries.ORACLE["op3_url_filters"]).df())
+
+
+def test_very_long_urls(spark):
+    """Linear in a URL's length, and the query string counts."""
+    rows = [(i, f"http://a.{'com' if i % 2 else 'net/es'}/{i}") for i in range(40)]
+    rows += [(100, "http://a.org/" + "x/é" * 40_000), (101, "http://a.org/?q=" + "y" * 100_000), (102, "http://a.org/?com"), (103, "http://a.org/?net/es/")]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert len(got) == len(rows) and len(got[100].path) == 120_001 and got[101].path == "/"
+    assert got[102].score != got[103].score
+
+
 # --- media
 
 
