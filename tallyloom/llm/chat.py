@@ -15,6 +15,8 @@ from tallyloom.llm.common import stored, table
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Tokens of a window, of repeated history in it, and characters a token.
 BUDGET, HISTORY, CHARS = 512, 128, 4
+#: Windows that are filled one after another before the next turn begins a new one in any case: what one row gathers.
+SEGMENT = 8
 
 
 def escape(text: Column) -> Column:
@@ -26,28 +28,36 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
-def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, learn: str = "assistant", conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, learn: str = "assistant", conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", tokens_col: str | None = None) -> DataFrame:
     """(conv_col, window, text, loss, repeated): the windows of every conversation.
 
     loss holds the (start, end) code points, end exclusive, of the texts of new turns with role `learn`; repeated is the number of turns
     before the first new one. A first turn with role system is repeated in every window, and of the window before as many last turns as
-    fit `history`. What the budget leaves beside them is halved: a turn of at most that half goes to the half its prefix sum falls in, so
-    windows keep the budget; a longer turn is a window of its own, whole. Null roles and texts count as empty. Turns go by turn number
+    fit `history`. New turns fill what the budget leaves beside them, turn by turn, by the prefix sums of their tokens; a turn longer
+    than that is a window of its own, whole. tokens_col names the tokens of each text; without it a token is CHARS characters. Null
+    roles and texts count as empty, null tokens as none. After SEGMENT windows' worth of tokens a new window begins, so that no row
+    gathers more than that. Turns go by turn number
     (null first), ties by role and text, and repeated rows are turns of their own; a null conversation id is one conversation. An empty
     table gives no windows. Only prefix sums are taken over a whole conversation, in rows that can spill; a window's rows then meet.
     """
     w = Window.partitionBy("conv").orderBy("turn", "role", "body")
     before, upto, whole = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("conv")
     role = F.coalesce(F.col(role_col), F.lit(""))
-    t = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), escape(F.coalesce(F.col(text_col), F.lit(""))).alias("body"))
+    tokens = F.lit(None).cast("long") if tokens_col is None else F.coalesce(F.col(tokens_col).cast("long"), F.lit(0))
+    t = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), escape(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), tokens.alias("tokens"))
     t = t.withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
-    t = t.withColumn("cost", F.ceil((F.length("head") + F.length("body") + len(END)) / CHARS).cast("long"))
+    plain = F.length("head") + len(END)
+    t = t.withColumn("cost", F.coalesce(F.col("tokens") + F.ceil(plain / CHARS), F.ceil((plain + F.length("body")) / CHARS)).cast("long")).drop("tokens")
     t = t.withColumns({"pos": F.row_number().over(w), "led": F.first("role").over(upto) == "system", "lead_cost": F.first("cost").over(upto)})
     t = t.withColumn("fixed", F.col("led") & (F.col("pos") == 1)).withColumn("new_cost", F.when(F.col("fixed"), 0).otherwise(F.col("cost")))
-    room = F.greatest(F.lit(1).cast("long"), F.floor((F.lit(budget - history) - F.when(F.col("led"), F.col("lead_cost")).otherwise(0)) / 2))
-    t = t.withColumns({"room": room, "sum": F.coalesce(F.sum("new_cost").over(before), F.lit(0))}).withColumn("long", ((F.col("new_cost") > F.col("room"))).cast("int"))
-    part = F.struct(F.sum("long").over(upto) * 2 - F.col("long"), F.floor(F.col("sum") / F.col("room")))
-    t = t.withColumn("part", part).withColumn("begins", ~F.col("fixed") & ((F.col("pos") == 1 + F.col("led").cast("int")) | (F.col("part") != F.lag("part").over(w))))
+    room = F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.when(F.col("led"), F.col("lead_cost")).otherwise(0))
+    t = t.withColumns({"room": room, "sum": F.coalesce(F.sum("new_cost").over(before), F.lit(0))})
+    t = t.withColumn("segment", F.floor(F.col("sum") / (F.col("room") * SEGMENT)))
+    so_far = F.collect_list("new_cost").over(Window.partitionBy("conv", "segment").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    full = lambda a, c: (a["used"] > 0) & (a["used"] + c > F.col("room"))
+    fill = lambda a, c: F.struct(F.when(full(a, c), c).otherwise(a["used"] + c).alias("used"), (a["n"] + full(a, c).cast("int")).alias("n"))
+    t = t.withColumn("part", F.struct("segment", F.aggregate(so_far, F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("n")), fill)["n"]))
+    t = t.withColumn("begins", ~F.col("fixed") & ((F.col("pos") == 1 + F.col("led").cast("int")) | (F.col("part") != F.lag("part").over(w))))
     t = t.withColumn("window", F.greatest(F.lit(0), F.sum(F.col("begins").cast("int")).over(upto) - 1).cast("int"))
     t = t.withColumns({"end": F.max(F.col("sum") + F.col("new_cost")).over(Window.partitionBy("conv", "window")), "last": F.max("window").over(whole)})
     again = (F.col("window") < F.col("last")) & (F.col("end") - F.col("sum") <= history)

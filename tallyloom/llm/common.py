@@ -14,9 +14,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset and Spark runs on one machine, a new local one."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
         at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
@@ -27,16 +29,15 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def fewer(df: DataFrame, scan: bool = False, rows: int | None = None) -> DataFrame:
-    """df in an eighth of its partitions, but four to a core at least: narrow tables need fewer files than the rows they come from.
+    """df in fewer partitions, where it may be narrower than the rows it comes from.
 
-    scan: df has no shuffle, so its own number of partitions is known; else that of shuffles counts. rows: a bound on the rows of a
-    small table, of which 200,000 go to a file.
+    scan: df has no shuffle; where it has more than four partitions to a core, its rows are dealt anew, after the work on them and by
+    size, so that the work keeps the scan's tasks. rows: a bound on the rows of a small table, of which 200,000 go to a file. Else
+    adaptive execution has already joined small partitions.
     """
-    spark = df.sparkSession
     if rows is not None:
         return df.coalesce(1 + rows // 200_000)
-    now = df.rdd.getNumPartitions() if scan else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.coalesce(max(4 * spark.sparkContext.defaultParallelism, now // 8))
+    return df.hint("rebalance") if scan and df.rdd.getNumPartitions() > 4 * df.sparkSession.sparkContext.defaultParallelism else df
 
 
 def stored(df: DataFrame, label: str, **how) -> DataFrame:

@@ -22,8 +22,8 @@ from tallyloom.llm.files import Ranges, Roll
 WIDTH, LEVEL = 64, 1
 #: A tar shard's size at most, where it holds more than one member.
 SHARD_BYTES = 256 << 20
-#: Bytes of members that one reading task takes.
-READ_BYTES = 8 << 20
+#: Bytes of members that one reading task takes at least, and such tasks at most.
+READ_BYTES, READ_TASKS = 8 << 20, 50_000
 # Fixed values of the PNG format: signature, and bytes up to the end of the header chunk.
 SIGNATURE, HEADER_BYTES = b"\x89PNG\r\n\x1a\n", 33
 
@@ -118,10 +118,10 @@ def objects(rows: DataFrame) -> DataFrame:
 
 
 def _by_place(places: DataFrame) -> DataFrame:
-    """Neighbouring members go to one task, READ_BYTES of them; the number of tasks follows the bytes stored."""
+    """Neighbouring members go to one task, READ_BYTES of them; the number of tasks follows the bytes stored, up to READ_TASKS."""
     places = stored(places, "objects")
     total = places.agg(F.sum("length")).first()[0] or 0
-    return places.repartitionByRange(max(1, -(-total // READ_BYTES)), "shard", "offset").sortWithinPartitions("shard", "offset")
+    return places.repartitionByRange(max(1, min(READ_TASKS, -(-total // READ_BYTES))), "shard", "offset").sortWithinPartitions("shard", "offset")
 
 
 def _read(places: DataFrame, fields: str, length, made) -> DataFrame:

@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import hash_52, stored, table
+from tallyloom.llm.common import hash_52, hot_keys, join_skewed, stored, table
 
 SEED = "mix-1"
 #: Without given weights a source's target weight is (its documents) ** POWER.
 POWER = 0.5
 #: The distribution is inverted up to this many standard deviations, and a few counts, above its mean: a tail below 2**-52.
 REACH = 10
-#: So many sources' distributions are broadcast at most, 750 numbers each; documents meet more by a shuffle over SALTS parts of each source.
-SOURCES, SALTS = 10_000, 32
+#: So many sources' distributions are broadcast at most, 750 numbers each; beyond that only those of hot sources are, and the others meet by a shuffle.
+SOURCES = 10_000
 #: Up to this mean exp(-rate) is still exact; a larger one is drawn as the sum of several counts of equal means.
 MEAN = 500
 
@@ -55,24 +55,20 @@ def poisson_steps(rate: Column) -> Column:
 def replication_counts(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED, **how) -> DataFrame:
     """(d, id, copies): each row of docs as a struct, its id as text, and its Poisson count. Rows with equal ids draw equal counts; a null id draws as the text 'null'.
 
-    A rate above MEAN is drawn as the sum of independent counts, each of an equal part of it; that is Poisson too. A given total that
-    asks for such a rate is refused.
+    A rate above MEAN is drawn as the sum of independent counts, each of an equal part of it; that is Poisson too.
     """
     rates = stored(source_rates(docs, source_col, **how), "rates")
-    found = rates.agg(F.count("*").alias("n"), F.max("rate").alias("top")).first()
-    if how.get("total") is not None and (found.top or 0) > MEAN:
-        raise ValueError(f"a mean repetition rate above {MEAN}: lower total, or raise the weights of larger sources")
     rates = rates.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MEAN)).cast("int"))
     steps = rates.select(F.col("source").alias("s"), "draws", poisson_steps(F.col("rate") / F.col("draws")).alias("steps"))
-    rows = docs.select(F.struct(*docs.columns).alias("d"), F.col(source_col).alias("source"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"))
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    steps = steps.withColumn("key", key("s"))
+    rows = docs.select(F.struct(*docs.columns).alias("d"), key(source_col).alias("key"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("id"))
     even = lambda *parts: hash_52(F.lit(seed), *parts, F.col("id")) / F.lit(float(2**52))
     rows = rows.withColumn("u", even())
-    same = F.col("source").eqNullSafe(F.col("s"))
-    if found.n <= SOURCES:
-        rows = rows.join(F.broadcast(steps), same, "left")
+    if rates.count() <= SOURCES:
+        rows = rows.join(F.broadcast(steps), "key", "left")
     else:
-        parts = steps.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("salt", F.spark_partition_id() % SALTS).join(parts, same & (F.col("salt") == F.col("part")), "left")
+        rows = join_skewed(rows, steps, ["key"], hot_keys(rates.select(key("source").alias("key"), "n"), ["key"]), "left")
     count = lambda u: F.size(F.filter("steps", lambda s: s <= u))
     more = F.transform(F.sequence(F.lit(2), F.col("draws")), lambda i: even(F.lit("draw"), i.cast("string")))
     more = F.aggregate(more, F.lit(0), lambda n, u: n + count(u))
@@ -99,14 +95,17 @@ QUERIES = {"op2_poisson_mixing": op2_poisson_mixing}
 ORACLE = {
     "op2_poisson_mixing": f"""
 WITH RECURSIVE n AS (SELECT source, count(*) AS n, sqrt(count(*)::DOUBLE) AS w FROM documents GROUP BY source),
-rates AS (SELECT source, (SELECT sum(n) FROM n)::DOUBLE * (w / (SELECT sum(w) FROM n)) / n AS rate FROM n),
+whole AS (SELECT source, (SELECT sum(n) FROM n)::DOUBLE * (w / (SELECT sum(w) FROM n)) / n AS rate FROM n),
+rates AS (SELECT source, greatest(1, ceil(rate / {MEAN}))::INTEGER AS draws, rate / greatest(1, ceil(rate / {MEAN})) AS rate FROM whole),
 steps(source, rate, k, p, total) AS (
   SELECT source, rate, 0, exp(-rate), exp(-rate) FROM rates
   UNION ALL
   SELECT source, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) FROM steps WHERE k < ceil(rate + {REACH} * sqrt(rate) + 20)),
-drawn AS (SELECT d.*, ('0x' || substr(md5('{SEED}|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / {2**52}.0::DOUBLE AS u FROM documents d),
-counts AS (SELECT d.*, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.total <= d.u) AS copies FROM drawn d),
-copies AS (SELECT c.*, unnest(range(1, copies + 1))::INTEGER AS copy_no FROM counts c)
+numbered AS (SELECT *, row_number() OVER () AS row FROM documents),
+draws AS (SELECT row, d.source, coalesce(doc_id::VARCHAR, 'null') AS id, unnest(range(1, draws + 1)) AS i FROM numbered d JOIN rates r ON r.source IS NOT DISTINCT FROM d.source),
+drawn AS (SELECT *, ('0x' || substr(md5('{SEED}|' || CASE WHEN i > 1 THEN 'draw|' || i || '|' ELSE '' END || id), 1, 13))::BIGINT / {2**52}.0::DOUBLE AS u FROM draws),
+counts AS (SELECT row, sum((SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.total <= d.u)) AS copies FROM drawn d GROUP BY row),
+copies AS (SELECT d.*, unnest(range(1, copies::BIGINT + 1))::INTEGER AS copy_no FROM numbered d JOIN counts USING (row))
 SELECT doc_id, text, lang, source, n_chars, copy_no,
   ('0x' || substr(md5('{SEED}|order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy_no), 1, 13))::BIGINT AS shuffle_key
 FROM copies"""

@@ -175,13 +175,21 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def train(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> AdditiveModel:
-    """Fits on at most `sample` labelled rows outside the held-out fold. Null ids and labels are left out; of several labels of an id the largest counts."""
+def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
+    """(id_col, _label) of about 1.2 times `sample` labelled ids outside the held-out fold, chosen by hash; of several labels of an id the largest counts."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(id_col).agg(F.max(label_col).cast("double").alias("_label"))
     share = min(1.0, 1.2 * sample / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
-    rows = feats.dropDuplicates([id_col]).join(known, id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).select("_label", *FEATURES).toPandas().to_numpy(float)
+    return known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+
+
+def train(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> AdditiveModel:
+    """Fits on at most `sample` labelled rows outside the held-out fold. Null ids and labels are left out.
+
+    Of rows with equal ids the one with the least features counts, so the same tables give the same model.
+    """
+    rows = feats.join(learnable(labels, id_col, label_col, sample), id_col).groupBy(id_col, "_label").agg(F.min(F.struct(*FEATURES)).alias("x"))
+    rows = rows.orderBy(F.xxhash64(id_col), id_col).limit(sample).select("_label", "x.*").toPandas().to_numpy(float)
     return fit(rows[:, 1:], rows[:, 0])
 
 
@@ -209,9 +217,13 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def accept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of docs that the classifier, fitted on docs and labels, does not reject.
 
-    Features are taken twice, to fit and to score beside the text: texts are never shuffled, and rows need no unique id.
+    A null text counts as empty, and every row is judged by itself, whole, so ids may repeat or be null; an empty table gives an empty
+    result, and without usable labels all rows stay. To fit, features are taken of the labelled sample only, at most SAMPLE ids and a
+    fifth more, whose number bounds what is broadcast; texts are never shuffled.
     """
-    model = train(stored(featurise(docs, id_col, text_col), "features", scan=True), labels, id_col, **how)
+    known = stored(learnable(labels, id_col, **how), "labels")
+    some = docs.join(F.broadcast(known.select(id_col)), id_col, "left_semi")
+    model = train(stored(featurise(some, id_col, text_col), "features", scan=True), labels, id_col, **how)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:

@@ -115,14 +115,19 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
 
 def cut(text: Column, spans: Column, mark: str) -> Column:
     """text with the sorted spans replaced by mark, one mark for spans that touch or overlap."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    whole = F.array().cast("array<struct<start:int,end:int>>")
 
-    def step(a, s):
-        fresh = (s["start"] > a["at"]) | (a["at"] == 0)
-        out = F.when(fresh, F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).otherwise(a["out"])
-        return F.struct(out.alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
+    def merge(a, s):
+        last = F.get(a, F.size(a) - 1)
+        longer = F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(a) > 0) & (s["start"] <= last["end"]), longer).otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
 
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    def parts(gaps):
+        before = lambda i: F.coalesce(F.get(gaps, i - 1)["end"], F.lit(0))
+        kept = F.transform(F.sequence(F.lit(0), F.size(gaps)), lambda i: F.substring(text, before(i) + 1, F.coalesce(F.get(gaps, i)["start"], F.length(text)) - before(i)))
+        return F.array_join(kept, mark)
+
+    return F.get(F.transform(F.array(F.aggregate(spans, whole, merge)), parts), 0)
 
 
 def op6_secret_scans(spark, sf_dir):
