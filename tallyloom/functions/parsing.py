@@ -45,10 +45,14 @@ def header(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(text), r"\s+", " "))
 
 
+# What a name may end in.
+SUFFIXES = r"\b(jr|sr|ii|iii|pt|ft|mgr|manager|lead|asst|assistant)\b\.?"
+
+
 def person(text: Column) -> Column:
     """A name without remarks in brackets, suffixes and signs, in lower case."""
     t = F.regexp_replace(F.lower(text), r"\([^)]*\)", " ")
-    t = F.regexp_replace(t, r"\b(jr|sr|pt|ft|mgr|manager)\b\.?", " ")
+    t = F.regexp_replace(t, SUFFIXES, " ")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z ]", ""), r" +", " "))
 
 

@@ -25,14 +25,27 @@ def similarity(new: pd.Series, known: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else None for a, b in zip(new, known)])
 
 
+def similar_pairs(new: DataFrame, known: DataFrame, block: str, least: float = MATCH) -> DataFrame:
+    """(block, name, known_name, ratio) of the pairs of distinct names within a block whose ratio is at least `least`, which must be 0.85 or more.
+
+    Only pairs that share two letters in a row are compared: of names of n letters at most 0.3 n of both are unmatched, so there are at
+    most 0.3 n + 1 matched runs of 0.85 n letters together, and one of them is longer than a letter; names of one letter match equal ones
+    only. Names too unequal in length are left out before they are compared, too.
+    """
+    grams = lambda c: F.explode(F.array_distinct(F.when(F.length(c) < 2, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(F.col(c), i, F.lit(2))))))
+    a = new.select(block, "name").distinct().where("name <> ''").select(block, "name", grams("name").alias("_gram"))
+    b = known.select(block, "known_name").distinct().where("known_name <> ''").select(block, "known_name", grams("known_name").alias("_gram"))
+    n, m = F.length("name"), F.length("known_name")
+    pairs = a.join(b, [block, "_gram"]).where(F.least(n, m) * 2 >= (n + m) * least).select(block, "name", "known_name").distinct()
+    return pairs.withColumn("ratio", similarity(F.col("name"), F.col("known_name"))).where(F.col("ratio") >= least)
+
+
 def best_match(new: DataFrame, known: DataFrame, block: str, least: float = MATCH) -> DataFrame:
     """new(block, name) with the most similar known name of its block and the ratio, where that is at least `least`; equal names need no comparing."""
     names = known.select(F.col(block).alias("_block"), F.col("name").alias("known_name")).distinct()
     exact = new.join(names, (F.col(block) == F.col("_block")) & (F.col("name") == F.col("known_name")), "left").drop("_block")
-    rest = exact.where("known_name IS NULL").drop("known_name").join(names, F.col(block) == F.col("_block")).drop("_block")
-    a, b = F.length("name"), F.length("known_name")
-    rest = rest.where(F.least(a, b) * 2 >= (a + b) * least)  # no ratio is above this bound
-    rest = rest.withColumn("ratio", similarity(F.col("name"), F.col("known_name"))).where(F.col("ratio") >= least)
+    rest = exact.where("known_name IS NULL").drop("known_name")
+    rest = rest.join(similar_pairs(rest, names.withColumnRenamed("_block", block), block, least), [block, "name"])
     found = rest.groupBy(*new.columns).agg(F.max_by(F.struct("known_name", "ratio"), F.struct("ratio", "known_name")).alias("m")).select(*new.columns, "m.*")
     return exact.where("known_name IS NOT NULL").select(*new.columns, "known_name", F.lit(1.0).alias("ratio")).unionByName(found)
 
@@ -206,6 +219,8 @@ ORACLE = {
     "name_normalize": f"SELECT s_name AS stylist_name, {_NAME.replace('stylist_name', 's_name')} AS name FROM supplier",
     "stable_ids": f"""WITH {facts.LINES_SQL}, f AS (SELECT stylist_name, loc_name, min(week_ending)::VARCHAR AS first_seen, {_NAME} AS name FROM lines GROUP BY stylist_name, loc_name)
 SELECT stylist_name, first_seen, lower(loc_name) || '_' || substr(replace(name, ' ', '_'), 1, 20) || '_' || substr(sha256(lower(loc_name) || '|' || name || '|' || first_seen), 1, 8) AS stylist_id FROM f""",
+    "fuzzy_match": f"""WITH {facts.LINES_SQL}, n AS (SELECT loc_name, stylist_name, {_NAME} AS k FROM places)
+SELECT loc_name, stylist_name, substr(k, 1, 4) || substr(k, 4) AS name, k AS known_name, 2.0::DOUBLE * length(k) / (2 * length(k) + 1) AS ratio FROM n""",
     "tenure_weeks": f"WITH {facts.LINES_SQL} SELECT stylist_name, min(week_ending) AS first_week, max(week_ending) AS last_week, count(DISTINCT week_ending) AS weeks_worked, ((max(week_ending) - min(week_ending)) // 7)::BIGINT AS tenure_weeks FROM lines GROUP BY 1",
     "transfer_edges": f"WITH {_MOVES} SELECT person, visit, day, from_loc, to_loc, day - prior_day AS gap_days, CASE WHEN returns THEN 'return_transfer' ELSE 'transfer' END AS kind FROM moves",
     "transfer_confidence_factors": f"""WITH {_MOVES}, f AS (SELECT person, visit, ({_CR} + {_CN}) / 2 AS performance, {_CN} * 0.4::DOUBLE + {_CR} * 0.6::DOUBLE AS volume, day - prior_day < 14 AS overlap FROM moves),
