@@ -14,6 +14,15 @@ def ratio(a: Column, b: Column, empty: str = ZERO) -> Column:
     return F.coalesce(out, F.lit(0.0)) if empty == ZERO else out
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Halves up, by plain arithmetic on doubles, so that every engine rounds alike."""
+    return F.floor(c * float(10**digits) + 0.5) / float(10**digits)
+
+
+def rounded_sql(x: str, digits: int) -> str:
+    return f"floor(({x}) * {10**digits}.0::DOUBLE + 0.5::DOUBLE) / {10**digits}.0::DOUBLE"
+
+
 # name, numerator, denominator
 LOCATION_RATIOS = (
     ("product_pct", "product", "total_sales"), ("ppg", "product", "guests"), ("pph", "service", "prod_hours"), ("avg_ticket", "total_sales", "guests"),

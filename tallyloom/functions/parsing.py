@@ -98,6 +98,12 @@ def figures(text: Column, label: str) -> Column:
     return money(F.nullif(F.regexp_extract(text, rf"(?i){label}\s*:?\s*(\(?-?\$?-?[\d,]+(?:\.\d+)?\)?)", 1), F.lit("")))
 
 
+def person_numbers(text: Column, label: str) -> Column:
+    """The numbers that follow the last line that begins with a label."""
+    n = r"\(?-?\$?[\d,]+(?:\.\d+)?\)?"
+    return F.transform(F.split(F.trim(F.regexp_extract(text, rf"(?s).*(?:^|\n)\s*{label}\s+({n}(?:\s+{n})*)", 1)), r"\s+"), money)
+
+
 def person_rows(docs: DataFrame, text: str, least: int = 4, words: int = 3) -> DataFrame:
     """A row for each line that is a name of at most `words` words and at least `least` numbers: docs' columns, place, name, numbers."""
     n = r"\(?-?\$?[\d,]+(?:\.\d+)?\)?%?"
