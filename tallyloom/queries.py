@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tallyloom.operators import coverage, cumulative, documents, enrich, grids, history, identity, ledger, people, report, summaries, transfers, triage, trust
+from tallyloom.operators import coverage, cumulative, documents, enrich, grids, history, identity, ledger, people, report, summaries, transfers, triage, trust, verify
 from tallyloom.plans import weekly
 from tallyloom.streaming import ingest
 
-MODULES = (cumulative, enrich, history, report, ledger, trust, people, identity, transfers, summaries, grids, documents, triage, coverage, weekly, ingest)
+MODULES = (cumulative, enrich, history, report, ledger, trust, people, identity, transfers, summaries, grids, verify, documents, triage, coverage, weekly, ingest)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
