@@ -192,7 +192,7 @@ def manual_actions(spark, sf_dir):
 def location_transfer_impact(spark, sf_dir):
     """Mean relative changes of revenue and lines over the moves to each location."""
     m = moves(facts.visits(spark, sf_dir)).withColumns({c: F.try_divide((F.col(a) - F.col(b)).cast("double"), F.col(b).cast("double")) for c, a, b in (("r", "revenue", "prior_revenue"), ("n", "n_lines", "prior_lines"))})
-    out = m.groupBy(F.col("to_loc").alias("loc_name")).agg(F.count("*").alias("n_moves"), F.round(F.avg("r"), 6).alias("revenue_change"), F.round(F.avg("n"), 6).alias("lines_change"))
+    out = m.groupBy(F.col("to_loc").alias("loc_name")).agg(F.count("*").alias("n_moves"), kpi.mean(F.col("r")).alias("revenue_change"), kpi.mean(F.col("n")).alias("lines_change"))
     return out.withColumn("verdict", F.when(F.col("revenue_change") <= -0.10, "declining").when(F.col("revenue_change") >= 0.10, "improving").otherwise("steady"))
 
 
@@ -205,7 +205,7 @@ def location_effect_rank(spark, sf_dir):
     m = moves(gaps).join(last, "person")
     part = lambda a, b: F.try_divide((F.col(a) - F.col(b)).cast("double"), F.col(b).cast("double"))
     sooner = F.try_divide((F.col("gap_before") - F.col("gap_after")).cast("double"), F.col("gap_before").cast("double"))
-    out = m.groupBy(F.col("to_loc").alias("loc_name")).agg(F.round(F.avg(part("revenue", "prior_revenue")), 6).alias("ticket_effect"), F.round(F.avg(part("n_lines", "prior_lines")), 6).alias("guest_effect"), F.round(F.avg(sooner), 6).alias("rebooking_effect"), kpi.ratio(F.count_if(F.col("last_loc") == F.col("to_loc")), F.count("*")).alias("retention"))
+    out = m.groupBy(F.col("to_loc").alias("loc_name")).agg(kpi.mean(part("revenue", "prior_revenue")).alias("ticket_effect"), kpi.mean(part("n_lines", "prior_lines")).alias("guest_effect"), kpi.mean(sooner).alias("rebooking_effect"), kpi.ratio(F.count_if(F.col("last_loc") == F.col("to_loc")), F.count("*")).alias("retention"))
     whole = sum((to_100(F.coalesce(c, F.lit(0.0)), -0.2, 0.2) * 0.25 for c in ("ticket_effect", "guest_effect", "rebooking_effect")), F.lit(0.0)) + F.col("retention") * 25
     out = out.withColumn("effect_score", F.floor(whole + 0.5).cast("long"))
     return out.withColumn("place", F.row_number().over(Window.orderBy(F.col("effect_score").desc(), "loc_name")).cast("long"))
@@ -269,12 +269,12 @@ SELECT year_month, x.name AS name, CASE WHEN x.bad THEN 'warn' ELSE 'pass' END A
     "pending_queue": f"WITH {_CTX} SELECT person, visit, to_loc, CASE WHEN (SELECT max(day) FROM visits) - day > {EXPIRY} THEN 'expired' ELSE 'pending' END AS state FROM mv WHERE next_loc IS NULL",
     "temporary_coverage": f"WITH {_CTX} SELECT person, visit, to_loc, coalesce(next_loc = from_loc, false) AS coverage FROM mv",
     "manual_actions": f"""WITH {_CTX} SELECT person, visit, CASE WHEN visit % 4 = 0 THEN 'INVALID' ELSE 'CONFIRMED' END AS status, CASE WHEN visit % 4 = 1 THEN day - 7 ELSE day END AS effective_day, CASE WHEN visit % 4 = 0 THEN from_loc ELSE to_loc END AS stands_at FROM mv""",
-    "location_transfer_impact": f"""WITH {_CTX}, t AS (SELECT to_loc AS loc_name, count(*) AS n_moves, round(avg((revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)), 6) AS revenue_change,
-  round(avg((n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)), 6) AS lines_change FROM mv GROUP BY 1)
+    "location_transfer_impact": f"""WITH {_CTX}, t AS (SELECT to_loc AS loc_name, count(*) AS n_moves, {kpi.mean_sql("(revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)")} AS revenue_change,
+  {kpi.mean_sql("(n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)")} AS lines_change FROM mv GROUP BY 1)
 SELECT *, CASE WHEN revenue_change <= -0.1::DOUBLE THEN 'declining' WHEN revenue_change >= 0.1::DOUBLE THEN 'improving' ELSE 'steady' END AS verdict FROM t""",
     "location_effect_rank": f"""WITH {_CTX}, l AS (SELECT person, arg_max(loc_name, (day, visit)) AS last_loc FROM visits GROUP BY 1),
-t AS (SELECT to_loc AS loc_name, round(avg((revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)), 6) AS ticket_effect, round(avg((n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)), 6) AS guest_effect,
-  round(avg(((day - prior_day) - (next_day - day))::DOUBLE / nullif((day - prior_day)::DOUBLE, 0)), 6) AS rebooking_effect, count(*) FILTER (last_loc = to_loc)::DOUBLE / count(*) AS retention FROM mv JOIN l USING (person) GROUP BY 1),
+t AS (SELECT to_loc AS loc_name, {kpi.mean_sql("(revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)")} AS ticket_effect, {kpi.mean_sql("(n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)")} AS guest_effect,
+  {kpi.mean_sql("((day - prior_day) - (next_day - day))::DOUBLE / nullif((day - prior_day)::DOUBLE, 0)")} AS rebooking_effect, count(*) FILTER (last_loc = to_loc)::DOUBLE / count(*) AS retention FROM mv JOIN l USING (person) GROUP BY 1),
 s AS (SELECT *, floor({_EFF.format(v="ticket_effect")} + {_EFF.format(v="guest_effect")} + {_EFF.format(v="rebooking_effect")} + retention * 25 + 0.5)::BIGINT AS effect_score FROM t)
 SELECT *, row_number() OVER (ORDER BY effect_score DESC, loc_name) AS place FROM s""",
     "transfer_net": f"""WITH {_CTX}, n AS (SELECT from_loc, to_loc, count(*) AS n FROM mv GROUP BY 1, 2)
