@@ -78,7 +78,7 @@ def category_buckets(spark, sf_dir):
 
 def unclosed_days(spark, sf_dir):
     """Days named after a marker in rendered notes: distinct, and only within the window."""
-    v = facts.visits(spark, sf_dir).groupBy("loc_name").agg(F.transform(F.slice(F.array_sort(F.collect_set("day")), 1, 60), lambda d: F.date_format(d, "M/d/yyyy")).alias("days"))
+    v = facts.visits(spark, sf_dir).groupBy("loc_name").agg(F.transform(F.array_sort(F.collect_set("day")), lambda d: F.date_format(d, "M/d/yyyy")).alias("days"))
     text = F.concat(F.lit("Report 1/1/1990. Unclosed days: "), F.array_join("days", ", "))
     found = parsing.days_after(text, "Unclosed days:")
     return v.select("loc_name", F.size(found).cast("long").alias("n_days"), F.array_max(found).alias("last_day"))
@@ -109,7 +109,7 @@ SELECT CASE WHEN english::INT + spanish::INT + german::INT <> 1 THEN 'unknown' W
     "html_text": r"""WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS t FROM pages)
 SELECT page_id, length(t) AS n_chars, len(list_filter(string_split(t, ' '), lambda x: x <> '')) AS n_tokens, md5(t) AS text_md5 FROM t""",
     "category_buckets": f"""WITH {facts.LINES_SQL} SELECT loc_name, CASE p_type {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in BUCKETS)} ELSE 'other' END AS bucket, count(*) AS qty, sum(net)::DOUBLE AS net FROM lines GROUP BY 1, 2""",
-    "unclosed_days": f"""WITH {facts.VISITS_SQL}, d AS (SELECT DISTINCT loc_name, day FROM visits QUALIFY dense_rank() OVER (PARTITION BY loc_name ORDER BY day) <= 60),
+    "unclosed_days": f"""WITH {facts.VISITS_SQL}, d AS (SELECT DISTINCT loc_name, day FROM visits),
 p AS (SELECT *, 15 + sum(length(strftime(day, '%-m/%-d/%Y')) + 2) OVER (PARTITION BY loc_name ORDER BY day) - 2 AS ends FROM d)
 SELECT loc_name, count(*) AS n_days, max(day) AS last_day FROM p WHERE ends <= 400 GROUP BY 1""",
     "salon_rows": f"""WITH {facts.LINES_SQL}, t AS ({facts.totals_sql('stylist_name, loc_name')})

@@ -111,8 +111,8 @@ def baseline_last_n_periods(spark, sf_dir):
 def unpivot_yoy(spark, sf_dir):
     """One row a location, month and year, from a table with a column a year."""
     months = kpi.with_ratios(facts.location_months(spark, sf_dir)).select("loc_name", F.substring("year_month", 6, 2).alias("month"), F.substring("year_month", 1, 4).alias("year"), F.col("total_sales").cast("double").alias("total_sales"))
-    years = ["1996", "1997", "1998"]
-    wide = months.groupBy("loc_name", "month").pivot("year", years).agg(F.sum("total_sales"))
+    wide = months.groupBy("loc_name", "month").pivot("year").agg(F.sum("total_sales"))  # the years that the table has
+    years = [c for c in wide.columns if c not in ("loc_name", "month")]
     return wide.unpivot(["loc_name", "month"], years, "year", "total_sales").where("total_sales IS NOT NULL")
 
 
@@ -143,7 +143,7 @@ SELECT a.loc_name, a.year_month, a.total_sales, b.total_sales AS prior_year, (a.
 FROM m a LEFT JOIN m b ON a.loc_name = b.loc_name AND b.year_month = (substr(a.year_month, 1, 4)::INT - 1)::VARCHAR || substr(a.year_month, 5, 3)""",
     "baseline_last_n_periods": f"""WITH {facts.WEEKS_SQL}, t AS (SELECT DISTINCT week_ending FROM lw ORDER BY 1 DESC LIMIT 4)
 SELECT loc_name, count(*) AS n_weeks, sum(service + product)::DOUBLE / count(*) AS avg_total_sales, sum(guests)::DOUBLE / count(*) AS avg_guests, sum(wax_count)::DOUBLE / count(*) AS avg_wax_count, sum(treat_count)::DOUBLE / count(*) AS avg_treat_count FROM lw WHERE week_ending IN (FROM t) GROUP BY 1""",
-    "unpivot_yoy": f"WITH {facts.MONTHS_SQL} SELECT loc_name, substr(year_month, 6, 2) AS month, substr(year_month, 1, 4) AS year, (service + product)::DOUBLE AS total_sales FROM lm WHERE substr(year_month, 1, 4) IN ('1996', '1997', '1998')",
+    "unpivot_yoy": f"WITH {facts.MONTHS_SQL} SELECT loc_name, substr(year_month, 6, 2) AS month, substr(year_month, 1, 4) AS year, (service + product)::DOUBLE AS total_sales FROM lm",
     "pivot_weeks": f"""WITH {facts.WEEKS_SQL}, i AS (SELECT *, dense_rank() OVER (PARTITION BY year_month ORDER BY week_ending) AS k FROM lw)
 SELECT loc_name, year_month, """ + ", ".join(f"(sum(service + product) FILTER (k = {i}))::DOUBLE AS week_{i}" for i in range(1, 7)) + " FROM i GROUP BY 1, 2",
 }

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import kpi
@@ -57,20 +57,41 @@ def fingerprint(keys: Column) -> Column:
 
 
 def append_ledger(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], *order) -> dict[str, int]:
-    """Appends new keys to the Parquet ledger at path and says how many rows were new. The batch is written apart, then appended in one go."""
-    from pyspark.errors import AnalysisException
+    """Appends new keys to the Parquet ledger at path and says how many rows came, were repeated in the batch, were stored already, and are new.
 
-    try:
-        existing = spark.read.parquet(path).select(*keys)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        existing = incoming.select(*keys).limit(0)
+    The batch is computed once, into a staged table that is removed in the end; a run that fails before the append has added nothing, and
+    run again it adds each key once.
+    """
     staged = f"{path.rstrip('/')}__staged/{uuid.uuid4().hex}"
-    new_rows(existing, incoming, keys, *order).write.parquet(staged)
-    batch = spark.read.parquet(staged)
-    batch.write.mode("append").parquet(path)
-    return {"appended": batch.count(), "received": incoming.count()}
+    came, added = Observation(), Observation()
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = incoming.withColumn("_n", F.row_number().over(w))
+    ranked.observe(came, F.count("*").alias("received"), F.count_if(F.col("_n") > 1).alias("repeated")).write.parquet(staged)
+    try:
+        batch = spark.read.schema(ranked.schema).parquet(staged).where("_n = 1").drop("_n")
+        existing = existing_rows(spark, path)
+        new = batch if existing is None else batch.join(existing.select(*keys).distinct(), keys, "left_anti").select(batch.columns)
+        new.observe(added, F.count("*").alias("appended")).write.mode("append").parquet(path)
+    finally:
+        remove(spark, staged)
+    n = {**came.get, **added.get}
+    return {**n, "stored": n["received"] - n["repeated"] - n["appended"]}
+
+
+def existing_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at path; None if there is none."""
+    files, at = _files(spark, path)
+    return spark.read.parquet(path) if files.exists(at) else None
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def overwrite_snapshot(df: DataFrame, path: str, by: str | None = None) -> None:

@@ -73,13 +73,14 @@ def to_100(value: Column, least: float, most: float) -> Column:
     return F.least(F.lit(100.0), F.greatest(F.lit(0.0), (value - least) / (most - least) * 100)) if most > least else F.lit(50.0)
 
 
-def before_and_after(moved: DataFrame, visits: DataFrame, days: int) -> DataFrame:
-    """Each move with averages of the person's visits in the days before it and from it on. Only visits of the person are compared."""
-    v = visits.select(F.col("person").alias("p"), F.col("day").alias("d"), F.col("revenue").alias("r"), F.col("n_lines").alias("n"), F.col("visit").alias("v"))
-    pairs = moved.join(v, (F.col("person") == F.col("p")) & F.col("d").between(F.date_sub("day", days), F.date_add("day", days)), "left")
-    pre, post = (F.col("d") < F.col("day")), (F.col("d") >= F.col("day"))
-    mean = lambda on, c: kpi.ratio(F.sum(F.when(on, F.col(c))), F.count_if(on), kpi.NULL)
-    return pairs.groupBy("person", "visit", "day", "from_loc", "to_loc").agg(mean(pre, "r").alias("pre_revenue"), mean(post, "r").alias("post_revenue"), mean(pre, "n").alias("pre_lines"), mean(post, "n").alias("post_lines"))
+def before_and_after(visits: DataFrame, days: int) -> DataFrame:
+    """Each move with averages of the person's visits in the days before it and from it on: range frames within the shuffle by person, no join."""
+    w = Window.partitionBy("person").orderBy("_d")
+    frames = {"pre": w.rangeBetween(-days, -1), "post": w.rangeBetween(0, days)}
+    mean = lambda c, f: kpi.ratio(F.sum(c).over(f), F.count(c).over(f), kpi.NULL)
+    v = visits.withColumn("_d", F.datediff("day", F.lit("1970-01-01").cast("date")).cast("long"))
+    v = v.withColumns({f"{k}_{n}": mean(c, f) for k, f in frames.items() for n, c in (("revenue", "revenue"), ("lines", "n_lines"))})
+    return moves(v).drop("_d")
 
 
 def _raw_names(spark, sf_dir) -> DataFrame:
@@ -127,8 +128,7 @@ def transfer_confidence_factors(spark, sf_dir):
 
 
 def transfer_impact_prepost(spark, sf_dir):
-    v = facts.visits(spark, sf_dir)
-    out = before_and_after(moves(v), v, 12 * 7).where("pre_revenue IS NOT NULL")
+    out = before_and_after(facts.visits(spark, sf_dir), 12 * 7).where("pre_revenue IS NOT NULL")
     change = lambda c: kpi.ratio(F.col(f"post_{c}") - F.col(f"pre_{c}"), F.col(f"pre_{c}"), kpi.NULL)
     out = out.withColumns({"revenue_change": change("revenue"), "lines_change": change("lines")})
     label = F.when((F.col("revenue_change") >= 0.10) & (F.col("lines_change") >= 0.05), "positive").when((F.col("revenue_change") <= -0.10) & (F.col("lines_change") <= -0.05), "negative").otherwise("mixed")
@@ -143,24 +143,20 @@ def talent_flow(spark, sf_dir):
 
 
 def transfer_matrix(spark, sf_dir):
-    """A column for each of four destinations, and all."""
-    m = moves(facts.visits(spark, sf_dir))
-    to = ["NATION_0", "NATION_1", "NATION_2", "NATION_3"]
-    wide = m.groupBy("from_loc").pivot("to_loc", to).count().na.fill(0)
-    return wide.withColumnsRenamed({t: f"to_{t.lower()}" for t in to}).join(m.groupBy("from_loc").agg(F.count("*").alias("to_all")), "from_loc")
+    """Every pair of locations with a move, and its share of the moves out of the first."""
+    n = moves(facts.visits(spark, sf_dir)).groupBy("from_loc", "to_loc").agg(F.count("*").alias("n"))
+    return n.withColumn("share", kpi.ratio(F.col("n"), F.sum("n").over(Window.partitionBy("from_loc"))))
 
 
 def transfer_pairs(spark, sf_dir):
-    """Moves of every pair of locations; transfer_matrix shows four destinations of them."""
+    """Moves of every pair of locations."""
     return moves(facts.visits(spark, sf_dir)).groupBy("from_loc", "to_loc").agg(F.count("*").alias("n"))
 
 
 def career_paths(spark, sf_dir):
-    """The first three locations of each person in order, as paths that at least two people share."""
-    w = Window.partitionBy("person").orderBy("day", "visit")
-    v = facts.visits(spark, sf_dir).withColumn("before", F.lag("loc_name").over(w)).where("before IS NULL OR before <> loc_name").withColumn("step", F.row_number().over(w)).where("step <= 3")
-    p = v.groupBy("person").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("step", "loc_name"))), lambda x: x["loc_name"]), " > ").alias("path"))
-    return p.groupBy("path").agg(F.count("*").alias("n_people")).where("n_people >= 2")
+    """Whole paths of at least two locations, and how many people took each."""
+    p = paths(facts.visits(spark, sf_dir)).where("path LIKE '% > %'")
+    return p.groupBy("path").agg(F.count("*").alias("n_people"))
 
 
 def paths(visits: DataFrame) -> DataFrame:
@@ -171,7 +167,7 @@ def paths(visits: DataFrame) -> DataFrame:
 
 
 def career_paths_whole(spark, sf_dir):
-    """Whole paths that at least two people share; career_paths shows their first three locations."""
+    """Whole paths that at least two people share."""
     return paths(facts.visits(spark, sf_dir)).groupBy("path").agg(F.count("*").alias("n_people")).where("n_people >= 2")
 
 
@@ -233,10 +229,10 @@ c AS (SELECT *, (post_revenue - pre_revenue) / nullif(pre_revenue, 0) AS revenue
 SELECT *, CASE WHEN revenue_change >= 0.1::DOUBLE AND lines_change >= 0.05::DOUBLE THEN 'positive' WHEN revenue_change <= -0.1::DOUBLE AND lines_change <= -0.05::DOUBLE THEN 'negative' ELSE 'mixed' END AS impact FROM c""",
     "talent_flow": f"""WITH {_MOVES}, e AS (SELECT to_loc AS loc_name, 1 AS i, 0 AS o FROM moves UNION ALL SELECT from_loc, 0, 1 FROM moves), t AS (SELECT loc_name, sum(i)::BIGINT AS moves_in, sum(o)::BIGINT AS moves_out, (sum(i) - sum(o))::BIGINT AS net FROM e GROUP BY 1)
 SELECT *, CASE WHEN net >= {FLOW} THEN 'destination' WHEN net <= -{FLOW} THEN 'source' ELSE 'balanced' END AS kind FROM t""",
-    "transfer_matrix": f"WITH {_MOVES} SELECT from_loc, " + ", ".join(f"count(*) FILTER (to_loc = 'NATION_{i}') AS to_nation_{i}" for i in range(4)) + ", count(*) AS to_all FROM moves GROUP BY 1",
+    "transfer_matrix": f"WITH {_MOVES}, n AS (SELECT from_loc, to_loc, count(*) AS n FROM moves GROUP BY 1, 2) SELECT *, n::DOUBLE / sum(n) OVER (PARTITION BY from_loc) AS share FROM n",
     "transfer_pairs": f"WITH {_MOVES} SELECT from_loc, to_loc, count(*) AS n FROM moves GROUP BY 1, 2",
-    "career_paths": f"""WITH {_MOVES}, k AS (SELECT person, loc_name, row_number() OVER (PARTITION BY person ORDER BY day, visit) AS step FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name),
-p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY step) AS path FROM k WHERE step <= 3 GROUP BY 1) SELECT path, count(*) AS n_people FROM p GROUP BY 1 HAVING count(*) >= 2""",
+    "career_paths": f"""WITH {_MOVES}, p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY day, visit) AS path FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name GROUP BY 1 HAVING count(*) >= 2)
+SELECT path, count(*) AS n_people FROM p GROUP BY 1""",
     "career_paths_whole": f"""WITH {_MOVES}, p AS (SELECT person, string_agg(loc_name, ' > ' ORDER BY day, visit) AS path FROM ordered WHERE from_loc IS NULL OR from_loc <> loc_name GROUP BY 1)
 SELECT path, count(*) AS n_people FROM p GROUP BY 1 HAVING count(*) >= 2""",
     "location_effect_score": f"""WITH {_MOVES}, l AS (SELECT person, arg_max(loc_name, (day, visit)) AS last_loc FROM visits GROUP BY 1),

@@ -31,9 +31,8 @@ def with_totals(df: DataFrame, within: list[str], label: str, sums: list[str], r
 def report_week_kpi_block(spark, sf_dir):
     """Each week's block: every location of the roster, blank where it has no snapshot that week, with the projection of its month."""
     snaps = calendar.projected(_latest(spark, sf_dir), "total_sales", spark.createDataFrame(list(OVERRIDES), "year_month string, days long"))
-    weeks = snaps.select("year_month", WEEK, "week_idx").distinct()
-    roster = snaps.select("loc_name").distinct()
-    places = weeks.withColumn("one", F.lit(1)).join(roster.withColumn("one", F.lit(1)), "one").drop("one")  # weeks and locations are dimensions
+    weeks = snaps.agg(F.collect_set(F.struct("year_month", WEEK, "week_idx"))).scalar()  # one a calendar week, however many locations there are
+    places = snaps.select("loc_name").distinct().select("loc_name", F.inline(weeks))
     out = places.join(snaps.drop("week_idx"), ["loc_name", "year_month", WEEK], "left").withColumn("present", F.col("guests").isNotNull())
     return kpi.plain(out, ["loc_name", "year_month", WEEK, "week_idx", "present", *kpi.FIGURES, "avg_ticket", "days_elapsed", "days_in_month", "projection"])
 
@@ -80,9 +79,9 @@ def dashboard_cards(spark, sf_dir):
     """Network totals a week, each against the week before."""
     rows = facts.location_weeks(spark, sf_dir).groupBy(WEEK).agg(F.count("*").alias("n_locations"), *(F.sum(c).alias(c) for c in ADDITIVE))
     rows = kpi.with_ratios(rows)
-    before = rows.select(F.col(WEEK).alias("w"), F.col("total_sales").alias("prior_sales"))
-    nearest = rows.select(WEEK).join(before, F.col("w").between(F.date_sub(WEEK, 10), F.date_sub(WEEK, 1))).groupBy(WEEK).agg(F.max_by("prior_sales", "w").alias("prior_sales"))
-    return kpi.plain(rows.join(nearest, WEEK, "left"), [WEEK, "n_locations", *kpi.FIGURES, "product_pct", "pph", "avg_ticket", "prior_sales"])
+    w = Window.orderBy(WEEK)  # one row a calendar week
+    near = F.datediff(WEEK, F.lag(WEEK).over(w)) <= 10
+    return kpi.plain(rows.withColumn("prior_sales", F.when(near, F.lag("total_sales").over(w))), [WEEK, "n_locations", *kpi.FIGURES, "product_pct", "pph", "avg_ticket", "prior_sales"])
 
 
 QUERIES = {f.__name__: f for f in (report_week_kpi_block, report_totals_rollup, report_service_mix, projection_working_days, goal_pacing, leaderboard_with_prior, dashboard_cards)}

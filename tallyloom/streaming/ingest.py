@@ -17,7 +17,10 @@ from tallyloom.operators.ledger import append_ledger
 
 
 def _work_folder(spark: SparkSession) -> str:
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tallyloom-")
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    at = at or tempfile.mkdtemp(prefix="tallyloom-")
     return f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -31,21 +34,25 @@ def stream_to_ledger(stream: DataFrame, ledger: str, checkpoint: str, keys: list
 
 
 def grace_period(stream: DataFrame, key: str, place: str, time: str, needed: int = 2) -> DataFrame:
-    """(key, from_place, to_place, seen): a change of place counts once `needed` rows in a row show the new one. Rows of a batch go by time."""
+    """(key, from_place, to_place, seen): a change of place counts once `needed` rows in a row show the new one.
+
+    A key's rows of a batch are gathered and go by time, so its rows of one batch must fit a task. Rows that come in a later batch count
+    after those before it, whatever their time: late rows can change which moves are confirmed, and are not sorted in.
+    """
 
     def run(k, batches, state: GroupState):
         home, candidate, n = state.get if state.exists else (None, None, 0)
         out = []
-        for pdf in batches:
-            for at, when in pdf.sort_values(time, kind="stable")[[place, time]].itertuples(index=False):
-                if home is None or at == home:
-                    home, candidate, n = home or at, None, 0
-                    continue
-                n = n + 1 if at == candidate else 1
-                candidate = at
-                if n >= needed:
-                    out.append((k[0], home, at, when))
-                    home, candidate, n = at, None, 0
+        rows = pd.concat([pdf[[place, time]] for pdf in batches]).sort_values([time, place], kind="stable")
+        for at, when in rows.itertuples(index=False):
+            if home is None or at == home:
+                home, candidate, n = home or at, None, 0
+                continue
+            n = n + 1 if at == candidate else 1
+            candidate = at
+            if n >= needed:
+                out.append((k[0], home, at, when))
+                home, candidate, n = at, None, 0
         state.update((home, candidate, n))
         yield pd.DataFrame(out, columns=[key, "from_place", "to_place", "seen"])
 
@@ -95,5 +102,8 @@ QUERIES = {f.__name__: f for f in (stream_ledger_append, stream_windows, stream_
 ORACLE = {
     "stream_ledger_append": """WITH f AS (SELECT *, ts::DATE AS day FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, ts::DATE ORDER BY ts, event_id) = 1)
 SELECT event_type, day, count(*) AS n_users, sum(event_id)::BIGINT AS event_ids FROM f GROUP BY 1, 2""",
+    "stream_grace_period": """WITH o AS (SELECT user_id, event_type, ts, lag(event_type) OVER w AS before, row_number() OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_type)),
+h AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY n) AS home FROM o WHERE n = 1 OR event_type = before)
+SELECT user_id, count(*) AS n_moves, max(ts) AS last_seen FROM h WHERE n > 1 AND event_type <> home GROUP BY 1""",
     "stream_windows": """SELECT ts::DATE AS day, event_type, count(*) AS n FROM events WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
 }
