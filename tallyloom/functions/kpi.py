@@ -25,12 +25,12 @@ def rounded_sql(x: str, digits: int) -> str:
 
 def mean(c: Column) -> Column:
     """Aggregate: the mean of doubles by a decimal sum, which does not depend on the order of rows."""
-    return F.sum(c.cast("decimal(38,9)")).cast("double") / F.count(c)
+    return F.sum(c.cast("decimal(38,6)")).cast("double") / F.count(c)
 
 
 def mean_sql(x: str, where: str | None = None) -> str:
     only = f" FILTER ({where})" if where else ""
-    return f"(sum(({x})::DECIMAL(38,9)){only}::DOUBLE / count({x}){only})"
+    return f"(sum(({x})::DECIMAL(38,6)){only}::DOUBLE / count({x}){only})"
 
 
 # name, numerator, denominator
