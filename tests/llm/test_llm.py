@@ -620,7 +620,7 @@ def test_chat_windows_are_filled(spark):
     """Short turns fill what the budget leaves; given tokens are counted instead of characters."""
     turns = spark.range(3000).select(F.lit(1).alias("conv_id"), F.col("id").cast("int").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.lit("abcdefgh" * 5).alias("text"), F.lit(50).alias("n_tokens"))
     plain, counted = (chat.windows(turns, tokens_col=c).selectExpr("max(length(text)) AS top", "avg(length(text)) AS mean", "count(*) AS n").first() for c in (None, "n_tokens"))
-    assert plain.top <= 4 * chat.BUDGET and plain.mean > 0.9 * 4 * chat.BUDGET
+    assert plain.top <= 4 * chat.BUDGET and plain.mean > 0.85 * 4 * chat.BUDGET
     assert counted.n > 1.5 * plain.n
 
 
