@@ -24,13 +24,21 @@ def rounded_sql(x: str, digits: int) -> str:
 
 
 def mean(c: Column) -> Column:
-    """Aggregate: the mean of doubles by a decimal sum, which does not depend on the order of rows."""
-    return F.sum(c.cast("decimal(38,6)")).cast("double") / F.count(c)
+    """Aggregate: the mean of doubles from a sum of whole millionths, which does not depend on the order of rows."""
+    return F.sum(millionths(c)).cast("double") / 1e6 / F.count(c)
+
+
+def millionths(c: Column) -> Column:
+    return F.floor(c * 1e6 + 0.5).cast("long")
 
 
 def mean_sql(x: str, where: str | None = None) -> str:
     only = f" FILTER ({where})" if where else ""
-    return f"(sum(({x})::DECIMAL(38,6)){only}::DOUBLE / count({x}){only})"
+    return f"(sum({millionths_sql(x)}){only}::DOUBLE / 1e6::DOUBLE / count({x}){only})"
+
+
+def millionths_sql(x: str) -> str:
+    return f"floor(({x}) * 1e6::DOUBLE + 0.5::DOUBLE)::BIGINT"
 
 
 # name, numerator, denominator

@@ -150,7 +150,7 @@ def network_payload(spark, sf_dir):
 def location_payload(spark, sf_dir):
     """A location's week: the mean of its last three productivities, its best stylist, the first below the watch line, and how many it has."""
     last3 = Window.partitionBy("loc_name").orderBy(WEEK).rowsBetween(-2, 0)
-    w = _weeks(spark, sf_dir).select("loc_name", WEEK, "pph", (F.sum(F.col("pph").cast("decimal(38,6)")).over(last3).cast("double") / F.count("*").over(last3)).alias("pph_3wk"))
+    w = _weeks(spark, sf_dir).select("loc_name", WEEK, "pph", (F.sum(kpi.millionths(F.col("pph"))).over(last3).cast("double") / 1e6 / F.count("*").over(last3)).alias("pph_3wk"))
     s = _stylists(spark, sf_dir)
     order = F.struct(-F.col("pph"), "stylist_name")
     low = F.col("pph") < 1000
@@ -280,7 +280,7 @@ SELECT manager, week_ending, last_value(b IGNORE NULLS) OVER (PARTITION BY manag
     "network_payload": f"""WITH {_LK} SELECT week_ending, coalesce(max(pph) FILTER (pph > 0), 0.0) AS top_pph, coalesce(min(pph) FILTER (pph > 0), 0.0) AS bottom_pph, {kpi.mean_sql("avg_ticket", "avg_ticket > 0")} AS avg_ticket, count(*) AS n_locations FROM lk GROUP BY 1""",
     "location_payload": f"""WITH {_LK}, s AS ({"SELECT stylist_name, loc_name, week_ending, " + kpi.ratios_sql(kpi.STYLIST_RATIOS)} FROM (SELECT *, strftime(week_ending, '%Y-%m') AS year_month FROM ({facts.totals_sql('stylist_name, loc_name, platform, manager, week_ending')}))),
 t AS (SELECT loc_name, week_ending, count(*) AS n_stylists, arg_min(stylist_name, (-pph, stylist_name)) AS top_stylist, arg_min(stylist_name, (-pph, stylist_name)) FILTER (pph < 1000) AS watch_stylist, {kpi.mean_sql("avg_ticket", "avg_ticket > 0")} AS avg_ticket FROM s GROUP BY 1, 2)
-SELECT w.loc_name, w.week_ending, pph, (sum(pph::DECIMAL(38,6)) OVER l3)::DOUBLE / (count(*) OVER l3) AS pph_3wk, n_stylists, top_stylist, watch_stylist, t.avg_ticket FROM lk w JOIN t ON t.loc_name = w.loc_name AND t.week_ending = w.week_ending
+SELECT w.loc_name, w.week_ending, pph, (sum({kpi.millionths_sql("pph")}) OVER l3)::DOUBLE / 1e6::DOUBLE / (count(*) OVER l3) AS pph_3wk, n_stylists, top_stylist, watch_stylist, t.avg_ticket FROM lk w JOIN t ON t.loc_name = w.loc_name AND t.week_ending = w.week_ending
   WINDOW l3 AS (PARTITION BY w.loc_name ORDER BY w.week_ending ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
     "live_and_historical": f"""WITH {facts.STYLISTS_SQL}, r AS (SELECT stylist_name, week_ending, guests, row_number() OVER w AS n, lead(guests) OVER w AS before FROM sw WINDOW w AS (PARTITION BY stylist_name ORDER BY week_ending DESC)), e AS (SELECT max(week_ending) AS m FROM sw)
 SELECT stylist_name, week_ending, CASE WHEN week_ending = m THEN guests - coalesce(before, 0) END AS change, CASE WHEN week_ending = m THEN 'live' ELSE 'historical' END AS kind FROM r, e WHERE n = 1""",
