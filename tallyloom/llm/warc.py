@@ -40,7 +40,7 @@ def resolve(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", l
 
 
 def record(page_id, url: str | None, payload: bytes, digest: bytes, refers_to, date: str) -> bytes:
-    """One record: WARC headers made afresh, HTTP headers, and for a response the payload."""
+    """One record: WARC headers made afresh, HTTP headers, and for a response the payload. Signs that a header can't hold are escaped in the url."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + (payload if refers_to is None else b"")
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{ID}{'' if page_id is None else page_id}>", f"WARC-Date: {date}"]
     if url:
@@ -52,7 +52,13 @@ def record(page_id, url: str | None, payload: bytes, digest: bytes, refers_to, d
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str | None = None, **how) -> DataFrame:
-    """(path, bytes) of the archives written; a stored table, since making it writes them. Names are never used by another attempt."""
+    """(path, bytes) of the archives written; a stored table, since making it writes them. Names are never used by another attempt.
+
+    A record a row: null html counts as empty, a null or empty url has no target header, and rows with a null id get records without a
+    number in their id, which read back as null. Rows with equal ids are records of their own; if their payloads are equal too and they
+    revisit another page, each is a revisit. Payloads of any length are written whole; an empty table writes no archive. Other columns
+    are not read.
+    """
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     revisits = resolve(pages, id_col, html_col, **how).where("refers_to IS NOT NULL").select(F.col(id_col).alias("_id"), F.col("digest").alias("_digest"), "refers_to").distinct()
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"))

@@ -708,3 +708,35 @@ def test_forgetting_pieces_changes_nothing(monkeypatch, reference_encoding):
     assert t.encode(text).tolist() == reference_encoding.encode_ordinary(text)
 
 
+# --- very long texts
+
+
+@pytest.fixture(scope="module")
+def long_docs(spark):
+    """A text of some megabytes, with a secret near its end, twice, and a short one."""
+    text = ("alpha beta gamma é " * 150_000) + "token=" + "a1" * 12
+    return spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text)), (3, "alpha", "en", "s", 5)], DOCS)
+
+
+def test_a_very_long_text_in_each_operator(spark, long_docs, tmp_path):
+    text = long_docs.first().text
+    raw = text.encode()
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(long_docs).collect()} == {1: 1, 2: 1, 3: 3}
+    got = {r.doc_id: r for r in media.media_columns(long_docs, f"file://{tmp_path}").collect()}
+    assert got[1].n_bytes == len(raw) and got[1].payload_sha256 == got[2].payload_sha256 == hashlib.sha256(raw + b"\0" * (-len(raw) % 64)).hexdigest()
+    tokens = {r.doc_id: r for r in bpe.round_trip(long_docs.select("doc_id", "text")).collect()}
+    assert tokens[1].decoded_sha256 == hashlib.sha256(raw).hexdigest() and tokens[1].n_tokens > 100_000
+    spans = {r.doc_id: r.found for r in secrets.scan(long_docs).collect()}
+    assert [(s.start, s.end) for s in spans[1]] == [(len(text) - 30, len(text)), (len(text) - 24, len(text))]
+    assert secrets.redact(long_docs).where("doc_id = 1").first().text.endswith("é <secret>")
+    assert quality.featurise(long_docs).count() == 3
+
+
+def test_a_very_long_page_and_a_long_conversation(spark, tmp_path):
+    html = "<p>é</p>" * 400_000
+    pages = spark.createDataFrame([(1, "http://a/", html), (2, "http://b/", html), (None, None, None)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.read_archives(warc.write_archives(pages, str(tmp_path))).collect()}
+    assert got[2].refers_to == 1 and got[2].payload_bytes == len(html.encode()) and got[None].payload_bytes == 0
+    turns = spark.range(6000).select(F.lit(1).alias("conv_id"), F.col("id").cast("int").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.when(F.col("id") == 7, F.lit("long " * 200_000)).otherwise(F.lit("short")).alias("text"))
+    back = chat.read_back(chat.windows(turns)).first()
+    assert back.n_turns == 6000 and back.loss_chars == 2999 * 5 + 1_000_000
