@@ -32,12 +32,19 @@ def deltas(df: DataFrame, metrics: list[str], keys: list[str]) -> DataFrame:
 
 
 def nearest_rank(metric: str, percent: int) -> Column:
-    """Aggregate: the value at index floor(n * percent / 100), at most the last, of the sorted values."""
+    """Aggregate: the value at index floor(n * percent / 100), at most the last, of the sorted values. For few values; else see at_rank."""
     values = F.array_sort(F.collect_list(metric))
     n = F.count(metric)
     return F.get(values, F.least(F.floor(n * percent / 100), n - 1).cast("int"))
 
 
+def at_rank(df: DataFrame, within: list[str], metric: str, percent: int) -> DataFrame:
+    """(within, metric, n): what nearest_rank gives for each of `within`, by ranks that can spill instead of an array of all values."""
+    w = Window.partitionBy(*within)
+    rows = df.where(F.col(metric).isNotNull()).withColumns({"_r": F.row_number().over(w.orderBy(metric)), "n": F.count("*").over(w)})
+    return rows.where(F.col("_r") == F.least(F.floor(F.col("n") * percent / 100), F.col("n") - 1) + 1).select(*within, metric, "n")
+
+
 def z_flags(df: DataFrame, metric: str, within: list[str]) -> DataFrame:
     """df with z and flag: the distance from the mean of positive values in sample standard deviations (1 for a single value; 0 if they are equal)."""
     of = F.when(F.col(metric) > 0, F.col(metric))
@@ -68,13 +75,14 @@ def zscore_flags(spark, sf_dir):
 
 def star_threshold_nearest_rank(spark, sf_dir):
     rows = kpi.with_ratios(facts.stylist_weeks(spark, sf_dir), kpi.STYLIST_RATIOS).where("pph > 0")
-    return rows.groupBy(WEEK).agg(nearest_rank("pph", STAR_PERCENTILE).alias("star_threshold"), F.count("*").alias("n_stylists"))
+    return at_rank(rows, [WEEK], "pph", STAR_PERCENTILE).select(WEEK, F.col("pph").alias("star_threshold"), F.col("n").alias("n_stylists"))
 
 
 def stylist_archetypes(spark, sf_dir):
     """Each stylist-week's archetype, against its week's threshold and network averages."""
     rows = kpi.with_ratios(facts.stylist_weeks(spark, sf_dir), kpi.STYLIST_RATIOS)
-    week = rows.where("pph > 0").groupBy(WEEK).agg(nearest_rank("pph", STAR_PERCENTILE).alias("star_threshold"), F.round(F.avg("pph"), 7).alias("net_pph"), F.round(F.avg("product_pct"), 7).alias("net_product_pct"))
+    week = rows.where("pph > 0").groupBy(WEEK).agg(F.round(F.avg("pph"), 7).alias("net_pph"), F.round(F.avg("product_pct"), 7).alias("net_product_pct"))
+    week = week.join(at_rank(rows.where("pph > 0"), [WEEK], "pph", STAR_PERCENTILE).select(WEEK, F.col("pph").alias("star_threshold")), WEEK)
     kind = F.when((F.col("pph") > 0) & (F.col("pph") >= F.col("star_threshold")), "star").when(F.col("product_pct") >= PRODUCT_EDGE * F.col("net_product_pct"), "seller").when(F.col("pph") - F.col("net_pph") <= PPH_GAP, "needs_support").otherwise("steady")
     return rows.join(week, WEEK).select("stylist_name", "loc_name", WEEK, "pph", "product_pct", "star_threshold", kind.alias("archetype"))
 

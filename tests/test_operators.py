@@ -79,6 +79,9 @@ def test_nearest_rank(spark):
     assert spark.range(1, 21).agg(enrich.nearest_rank("id", 85)).first()[0] == 18
     assert spark.range(1, 2).agg(enrich.nearest_rank("id", 85)).first()[0] == 1
     assert spark.range(0).agg(enrich.nearest_rank("id", 85)).first()[0] is None
+    rows = spark.range(1, 41).select((F.col("id") % 3).alias("g"), "id").unionByName(spark.createDataFrame([(0, None), (5, 7)], "g long, id long"))
+    want = {r.g: r.v for r in rows.groupBy("g").agg(enrich.nearest_rank("id", 85).alias("v")).collect()}
+    assert {r.g: r.id for r in enrich.at_rank(rows, ["g"], "id", 85).collect()} == want and len(want) == 4
 
 
 def test_z_flags_of_one_and_of_equal_values(spark):
