@@ -37,8 +37,9 @@ def period(week_ending: Column) -> Column:
 
 
 def period_start(text: Column) -> Column:
-    """Six days before a date in one of three formats; null for others."""
-    return F.date_sub(F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "M/d/yyyy"), F.try_to_date(text, "M/d/yy")), 6)
+    """Six days before a date in one of three formats, as ISO text; other text stays as it is, and null is empty."""
+    day = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "M/d/yyyy"), F.try_to_date(text, "d-MMM-yyyy"))
+    return F.coalesce(F.date_format(F.date_sub(day, 6), "yyyy-MM-dd"), text, F.lit(""))
 
 
 def place(raw: Column, aliases: dict[str, str]) -> Column:
@@ -148,13 +149,44 @@ def period_labels(spark, sf_dir):
 
 
 def period_starts(spark, sf_dir):
-    """Period ends in four formats, one unknown."""
+    """Period ends in three known formats and one unknown."""
     o = parquet(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
     k = F.col("o_orderkey") % 4
-    t = F.when(k == 0, F.date_format("d", "yyyy-MM-dd")).when(k == 1, F.date_format("d", "M/d/yyyy")).when(k == 2, F.date_format("d", "M/d/yyyy")).otherwise(F.date_format("d", "dd.MM.yyyy"))
+    t = F.when(k == 0, F.date_format("d", "yyyy-MM-dd")).when(k == 1, F.date_format("d", "M/d/yyyy")).when(k == 2, F.date_format("d", "d-MMM-yyyy")).otherwise(F.date_format("d", "dd.MM.yyyy"))
     return o.select("o_orderkey", period_start(t).alias("period_start"))
 
 
+def newer_location(df: DataFrame) -> DataFrame:
+    """The 24 columns of the newer location table: missing numbers are 0, missing text is empty, a missing flag is solid, shares over one are percents."""
+    n = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    t = lambda c, default="": F.coalesce(F.col(c).cast("string"), F.lit(default))
+    share = lambda c: parsing.fraction(n(c))
+    end = t(WEEK)
+    values = {
+        "location": t("loc_name"), "period_start": period_start(end), "period_end": end, "pos_system": t("platform"), "guest_count": n("guests").cast("long"), "total_sales": n("total_sales"), "service_net": n("service"), "product_net": n("product"),
+        "product_pct": share("product_pct"), "ppg_net": n("ppg"), "pph_net": n("pph"), "avg_ticket": n("avg_ticket"), "productive_hours": n("prod_hours"), "wax_count": n("wax_count"), "wax_net": n("wax"), "wax_pct": share("wax_pct"),
+        "color_net": n("color"), "color_pct": share("color_pct"), "treatment_count": n("treat_count"), "treatment_net": n("treat"), "treatment_pct": share("treat_pct"), "flag": t("flag", "solid"), "coach": t("manager"), "coach_emoji": t("emoji"),
+    }
+    return df.select(*(v.alias(k) for k, v in values.items()))
+
+
+def newer_location_rows(spark, sf_dir):
+    """Location weeks whose shares are percents and whose flags are mostly missing."""
+    w = kpi.with_ratios(facts.location_weeks(spark, sf_dir))
+    w = w.withColumns({c: F.col(c) * 100 for c in ("product_pct", "wax_pct", "color_pct", "treat_pct")})
+    return newer_location(w.withColumns({"flag": F.when(F.col("guests") > 5, "star"), "emoji": F.lit(None).cast("string")}))
+
+
+def newer_stylist_rows(spark, sf_dir):
+    """The last element of each stylist's histories; tenure from one of two columns."""
+    s = facts.stylist_weeks(spark, sf_dir)
+    row = F.struct(WEEK, "loc_name", "guests", "color", "manager", kpi.ratio(F.col("product"), F.col("service") + F.col("product")).alias("share"))
+    h = s.groupBy("stylist_name").agg(F.sort_array(F.collect_list(row)).alias("h"), F.datediff(F.max(WEEK), F.min(WEEK)).alias("d"))
+    last = lambda c: F.try_element_at("h", F.lit(-1))[c]
+    tenure = F.coalesce(F.lit(None).cast("double"), F.col("d") / 365.0)
+    return h.select(last(WEEK).cast("string").alias("period_end"), "stylist_name", last("loc_name").alias("location"), F.lit("active").alias("status"), tenure.alias("tenure_years"), parsing.fraction(last("share") * 100).alias("product_pct"), last("guests").cast("double").alias("services"), last("color").cast("double").alias("color"), last("manager").alias("coach"))
+
+
 ALIASES = {f"n {i}": f"NATION_{i}" for i in range(0, 25, 2)}
 
 
@@ -255,7 +287,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         location_rows, cumulative_rows, month_frame, projections, requests_and_guests, month_sundays, period_labels, period_starts, place_names, header_places, managers_and_systems, section_headers, json_hashes, brief_map,
-        latest_stylist_rows, top_lists, common_people, recipients, zero_after_five, around_moves,
+        latest_stylist_rows, top_lists, common_people, recipients, zero_after_five, around_moves, newer_location_rows, newer_stylist_rows,
     )
 }
 
@@ -267,6 +299,7 @@ wide AS (SELECT loc_id AS location_id, loc_name AS location_name_canonical, CASE
   'mtd' AS period_type, 'MTD thru ' || week_ending AS period_label, g AS guest_count, t AS total_sales_net, s AS service_net, p AS product_net, h AS productive_hours, {_DIV("p", "t", 4)} AS product_pct, {_DIV("p", "g", 2)} AS ppg_net, {_DIV("t", "g", 2)} AS avg_ticket,
   {_DIV("t", "h", 2)} AS pph_net, wax_count::DOUBLE AS wax_count, wax::DOUBLE AS wax_net, color::DOUBLE AS color_net, treat_count::DOUBLE AS treatment_count, treat::DOUBLE AS treatment_net, {_DIV("wax_count::DOUBLE", "g", 4)} AS wax_pct, {_DIV("color::DOUBLE", "s", 4)} AS color_pct,
   {_DIV("treat_count::DOUBLE", "g", 4)} AS treatment_pct, {kpi.rounded_sql("t / 2", 2)} * 25 AS projection, goal AS monthly_goal, {kpi.rounded_sql("goal / 26", 2)} AS daily_goal, sha256(loc_name || '/' || week_ending) AS source_extract_hash, h IS NOT NULL AS data_complete_flag FROM z)"""
+_FRACTION = "CASE WHEN abs({x}) <= 1 THEN {x} ELSE {x} / 100 END"
 ORACLE = {
     "location_rows": f"WITH {_ROWS} SELECT * FROM wide",
     "cumulative_rows": f"WITH {_ROWS} SELECT strftime(period_end, '%Y-%m') AS year_month, period_end AS week_ending, {', '.join(f'{a} AS {b}' for b, a in CUMULATIVE.items())}, 'weekly' AS source FROM wide",
@@ -279,7 +312,15 @@ SELECT loc_name, week_ending, t / nullif(a::DOUBLE, 0) * b AS by_working_days, {
   coalesce(product::DOUBLE / nullif(CASE WHEN platform = 'zenoti' AND guests - wax_count > 0 THEN guests - wax_count ELSE guests END, 0), 0.0) AS ppg FROM sw""",
     "month_sundays": f"""WITH {facts.WEEKS_SQL}, m AS (SELECT DISTINCT year_month, (year_month || '-01')::DATE AS f FROM lw), d AS (SELECT year_month, unnest(range(f, last_day(f) + 1, INTERVAL 1 DAY))::DATE AS sunday FROM m) SELECT * FROM d WHERE isodow(sunday) = 7""",
     "period_labels": f"WITH {facts.WEEKS_SQL} SELECT DISTINCT week_ending, date_trunc('month', week_ending)::DATE AS period_start, 'mtd' AS period_type, 'MTD thru ' || week_ending AS period_label FROM lw",
-    "period_starts": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN o_orderdate::DATE - 6 END AS period_start FROM orders",
+    "period_starts": "SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN (o_orderdate::DATE - 6)::VARCHAR ELSE strftime(o_orderdate, '%d.%m.%Y') END AS period_start FROM orders",
+    "newer_location_rows": f"""WITH {facts.WEEKS_SQL}, k AS (SELECT *, service::DOUBLE AS s, product::DOUBLE AS p, guests::DOUBLE AS g FROM lw), r AS (SELECT *, {kpi.ratios_sql()} FROM k)
+SELECT loc_name AS location, (week_ending - 6)::VARCHAR AS period_start, week_ending::VARCHAR AS period_end, platform AS pos_system, guests AS guest_count, (service + product)::DOUBLE AS total_sales, s AS service_net, p AS product_net,
+  {_FRACTION.format(x="(product_pct * 100)")} AS product_pct, ppg AS ppg_net, pph AS pph_net, avg_ticket, prod_hours::DOUBLE AS productive_hours, wax_count::DOUBLE AS wax_count, wax::DOUBLE AS wax_net, {_FRACTION.format(x="(wax_pct * 100)")} AS wax_pct,
+  color::DOUBLE AS color_net, {_FRACTION.format(x="(color_pct * 100)")} AS color_pct, treat_count::DOUBLE AS treatment_count, treat::DOUBLE AS treatment_net, {_FRACTION.format(x="(treat_pct * 100)")} AS treatment_pct,
+  CASE WHEN guests > 5 THEN 'star' ELSE 'solid' END AS flag, manager AS coach, '' AS coach_emoji FROM r""",
+    "newer_stylist_rows": f"""WITH {facts.STYLISTS_SQL}, a AS (SELECT stylist_name, max(week_ending)::VARCHAR AS period_end, arg_max(loc_name, week_ending) AS location, arg_max(guests, week_ending)::DOUBLE AS services, arg_max(color, week_ending)::DOUBLE AS color,
+  arg_max(product::DOUBLE / nullif((service + product)::DOUBLE, 0), week_ending) AS share, arg_max(manager, week_ending) AS coach, max(week_ending) - min(week_ending) AS d FROM sw GROUP BY 1)
+SELECT period_end, stylist_name, location, 'active' AS status, d / 365.0::DOUBLE AS tenure_years, {_FRACTION.format(x="(coalesce(share, 0.0) * 100)")} AS product_pct, services, color, coach FROM a""",
     "place_names": "SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 4 THEN 'Unknown' ELSE n_name END AS place FROM nation",
     "header_places": "SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN 'Mill' ELSE n_name END AS place FROM nation",
     "managers_and_systems": f"""WITH {facts.LINES_SQL}, k AS (SELECT DISTINCT loc_name, manager, platform FROM places), a AS (SELECT n_nationkey, CASE WHEN n_nationkey % 6 = 5 THEN 'elsewhere' ELSE n_name END AS loc_name FROM nation)
