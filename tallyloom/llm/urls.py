@@ -76,8 +76,7 @@ def gram_ratios(counts: DataFrame) -> DataFrame:
         else:
             level = level.join(contexts, "context").withColumn("rest", F.substring("gram", 2, k - 1)).join(below.withColumnRenamed("gram", "rest"), "rest")
         mixed = {f"p{m}": F.when(F.col(f"n{m}") > 0, (F.col(m) + F.col(f"t{m}") * F.col(f"p{m}")) / (F.col(f"n{m}") + F.col(f"t{m}")).cast("double")).otherwise(F.col(f"p{m}")) for m in "ab"}
-        below = level.withColumns(mixed).select("gram", "pa", "pb")
-        below = stored(below, f"chances-{k}") if k < ORDER else below
+        below = level.withColumns(mixed).select("gram", "pa", "pb")  # used once, by the next order
     known = (whole.select("a").scalar() > 0) & (whole.select("b").scalar() > 0)
     return below.select("gram", F.when(known, F.round((F.log("pa") - F.log("pb")) * UNIT)).otherwise(0.0).cast("long").alias("lr"))
 
