@@ -1,12 +1,11 @@
-"""Pieces of texts that are worked on once each: corpus counts, per-text frequencies, and weighted sums joined back to the texts.
+"""Pieces of texts that are worked on once each: corpus counts, the frequent ones, and weighted sums joined back to the texts.
 
-A splitter is a function without arguments, called once a task, that returns an object with words(text), a list in order, and
-parts(word), the pieces of a word; the pieces of a text are those of its words. It must be picklable.
+What cuts texts is a function without arguments, called once a task, that returns an object whose tally(texts) goes through an iterator
+of texts and yields arrays of pieces with how often they occur. It must be picklable.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -15,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import hot_keys, join_skewed, stored
 
-#: Most frequent pieces that are broadcast, each of at most SHORT characters; counts that a task gathers before it hands them on.
-OFTEN, SHORT, GATHERED = 200_000, 32, 400_000
+#: Most frequent pieces that are broadcast, each of at most SHORT characters.
+OFTEN, SHORT = 200_000, 32
 
 
 def keyed(docs: DataFrame, text_col: str) -> DataFrame:
@@ -24,50 +23,16 @@ def keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.where(F.length(text_col) > 0).select(F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("_key"), F.col(text_col).alias("text"))
 
 
-def _whole(parts, counts: Counter) -> Counter:
-    out: Counter = Counter()
-    for word, n in counts.items():
-        for p in parts(word):
-            out[p] += n
-    return out
-
-
-def counted(texts: DataFrame, splitter: Callable) -> DataFrame:
+def counted(texts: DataFrame, load: Callable) -> DataFrame:
     """(piece, n): how often each piece occurs in all of texts(text). Tasks add up what they have before the shuffle."""
 
     def run(batches):
-        s, seen = splitter(), Counter()
-
-        def out():
-            c = _whole(s.parts, seen)
-            seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], ["piece", "n"])
-
-        for b in batches:
-            for text in b.column(0):
-                seen.update(s.words(text.as_py()))
-                if len(seen) > GATHERED:
-                    yield out()
-        yield out()
+        for pieces, n in load().tally(t.as_py() for b in batches for t in b.column(0)):
+            yield pa.RecordBatch.from_arrays([pieces, n], ["piece", "n"])
 
     return texts.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
-def frequencies(texts: DataFrame, splitter: Callable) -> DataFrame:
-    """(_key, pieces, times) of each row of texts(_key, text)."""
-
-    def run(batches):
-        s = splitter()
-        for b in batches:
-            for at in range(0, b.num_rows, 64):
-                part = b.slice(at, 64)
-                found = [_whole(s.parts, Counter(s.words(t.as_py()))) for t in part.column(1)]
-                pieces, times = pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pieces, times], ["_key", "pieces", "times"])
-
-    return texts.select("_key", "text").mapInArrow(run, "_key binary, pieces array<string>, times array<long>")
-
-
 def often(table: DataFrame, most: int = OFTEN) -> DataFrame:
     """The rows of table(piece, n, ...) with the most frequent pieces, at most `most`, which can therefore be broadcast.
 
