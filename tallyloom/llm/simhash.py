@@ -207,11 +207,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fewer(fps.join(named, "fp", "left")).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", by=near_duplicates, **how) -> DataFrame:
-    """The rows of docs whose id names their component; of rows with equal ids one stays, and so does every row without an id."""
+def keep_one(docs: DataFrame, id_col: str = "doc_id", by=near_duplicates, text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs whose id names their component; every row without an id stays.
+
+    Of rows with equal ids one stays: that whose text has the least MD5 (null as empty), then the one whose other columns as JSON are
+    least, so the choice does not depend on how the rows are dealt.
+    """
     keep = by(docs, id_col, **how).where(F.col("component_id") == F.col(id_col)).select(id_col).distinct()
     one = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
-    return one.dropDuplicates([id_col]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    order = F.struct(F.md5(F.coalesce(text_col, F.lit("")).cast("binary")), F.to_json(F.struct(*docs.drop(text_col).columns)), F.col(text_col).isNull())
+    one = one.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(F.struct(*docs.columns), order).alias("_row")).select("_row.*")
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op1_simhash_near_dedup(spark, sf_dir):

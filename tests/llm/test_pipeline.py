@@ -153,15 +153,23 @@ def test_token_stage(spark, folder):
     assert rows_of(cp.tokenise(spark, docs, folder).collect()) == rows_of(plain_tokens(docs.collect()))
 
 
+def one_an_id(docs):
+    """Of rows with equal ids that whose text has the least MD5."""
+    least = {}
+    for r in docs:
+        key = hashlib.md5((r.text or "").encode()).hexdigest()
+        if r.doc_id not in least or key < least[r.doc_id][0]:
+            least[r.doc_id] = (key, r)
+    return [r for r in docs if r.doc_id is None or r is least[r.doc_id][1]]
+
+
 def test_whole_run(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
-    want = plain_near(plain_quality(spark, docs, folder))
+    want = one_an_id(plain_near(plain_quality(spark, docs, folder)))
     got = cp.run(spark, folder).collect()
-    same = {431}  # two rows with one id and different texts: either may stay
-    redacted = list({r.doc_id: r for r in plain_redaction(want)}.values())  # one row an id reaches the mixture
+    redacted = plain_redaction(want)
     expected = [r for r, c in zip(redacted, plain_counts(redacted)) for _ in range(c)]
-    assert rows_of(r for r in got if r.doc_id not in same) == rows_of(r for r in plain_tokens(expected) if r[0] not in same)
-    assert sum(r.doc_id in same for r in got) == sum(r.doc_id in same for r in expected)
+    assert rows_of(got) == rows_of(plain_tokens(expected))
 
 
 def test_stages_of_an_empty_table(spark, folder):
