@@ -6,13 +6,14 @@ nothing is lost by it.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import parsing
 from tallyloom.operators.people import MATCH, best_match, similar_pairs, similarity
+from tallyloom.operators.rounds import first_wins
 from tallyloom.sources import facts
+from tallyloom.sources.work import stored, work_folder
 
 #: Similarity of two location names below which they differ, and below which they are doubtful.
 DIFFERENT, DOUBTFUL = 0.70, 0.95
@@ -45,8 +46,8 @@ def resolve(people: DataFrame, master: DataFrame, block: str, first_seen: str, l
 def master_table(rows: DataFrame, block: str, week: str, least: float = MATCH) -> DataFrame:
     """(block, canonical_name, normalized_name, first_seen, stylist_id, variants) from rows(block, raw, week), oldest first.
 
-    A name is a variant of the most similar person seen before it, if similar enough, else a new person. Only names that are similar to
-    another one are decided one after another, in one group a location; all others are persons at once.
+    A name is a variant of the most similar person seen before it, if similar enough, else a new person. Who is one is settled in rounds
+    over the pairs of similar names (see `first_wins`), so no location has to be gone through in one task.
     """
     raws = rows.withColumn("name", parsing.person(F.col("raw"))).where("name <> ''").groupBy(block, "name", "raw").agg(F.min(week).alias("seen"))
     names = raws.groupBy(block, "name").agg(F.min("seen").alias("first_seen"), F.min_by("raw", F.struct("seen", "raw")).alias("canonical_name"))
@@ -55,16 +56,9 @@ def master_table(rows: DataFrame, block: str, week: str, least: float = MATCH) -
     pairs = pairs.join(order, [block, "name"]).join(order.toDF(block, "known_name", "ks", "kc"), [block, "known_name"])
     pairs = pairs.where(F.struct("ks", "kc") < F.struct("s", "c")).select(block, "name", "known_name", "ratio", "s", "c")
 
-    def decide(group: pd.DataFrame) -> pd.DataFrame:
-        of: dict[str, str] = {}
-        for name, found in group.sort_values(["s", "c", "name"]).groupby("name", sort=False):
-            persons = found[~found.known_name.isin(list(of))].sort_values(["ratio", "known_name"])
-            if len(persons):
-                of[name] = persons.known_name.iloc[-1]
-        return pd.DataFrame({block: group[block].iloc[0], "name": list(of), "person": list(of.values())}, columns=[block, "name", "person"])
-
-    kind = dict(names.dtypes)[block]
-    merged = pairs.groupBy(block).applyInPandas(decide, f"`{block}` {kind}, name string, person string")
+    pairs = stored(pairs, work_folder(rows.sparkSession, "names"))
+    persons = first_wins(pairs, [block], "known_name").where("is_first").select(block, F.col("name").alias("known_name"))
+    merged = pairs.join(persons, [block, "known_name"]).groupBy(block, "name").agg(F.max_by("known_name", F.struct("ratio", "known_name")).alias("person"))
     raws = raws.join(merged, [block, "name"], "left").withColumn("person", F.coalesce("person", "name"))
     persons = names.withColumnRenamed("name", "person")
     every = raws.groupBy(block, "person").agg(F.sort_array(F.collect_set("raw")).alias("raws"))
