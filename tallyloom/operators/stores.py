@@ -1,15 +1,20 @@
 """Sinks that are all or nothing: versioned tables with an audit log, appends of whole periods, logs, and the narrow tables that others read.
 
-A versioned table is a folder of versions, of which the audit log names the valid ones; readers take the last of them. A write that fails,
-or whose check fails, leaves a version that the log does not name, so the one before stays in force and nothing has to be restored.
+A versioned table is a folder of versions and a log of numbered files, each of which names one; the highest number is in force. A log file
+is created only if there is none of its number, so of two writers that began from one version only the first goes through. A write that
+fails, or whose check fails, leaves a version that the log does not name: the one before stays in force and nothing has to be restored.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +23,7 @@ from tallyloom.operators.contracts import _weeks as wide_weeks
 from tallyloom.operators.contracts import CUMULATIVE, location_row
 from tallyloom.operators.ledger import append_ledger, existing_rows
 from tallyloom.sources import facts
+from tallyloom.sources.work import work_folder
 
 AUDIT = "version string, at timestamp, caller string, operation string, n_rows bigint, skipped bigint, status string, batch_sha256 string, error string"
 ANOMALY = "period_end date, location string, alert_type string, severity string, message string, source string, at timestamp"
@@ -35,10 +41,92 @@ def audit(spark: SparkSession, path: str, **row) -> None:
     spark.createDataFrame([tuple({"at": at, **row}.get(n) for n in names)], AUDIT).coalesce(1).write.mode("append").parquet(f"{path}/audit")
 
 
-def safe_overwrite(spark: SparkSession, path: str, df: DataFrame, caller: str, check: Callable[[DataFrame], str | None] = lambda _: None) -> str:
+class Conflict(RuntimeError):
+    """Another writer was first."""
+
+
+def _at(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless there is one already; says whether it did. Of several writers one succeeds."""
+    fs, p = _at(spark, path)
+    if fs.getScheme() == "file":  # whose create() looks first and writes then; a link is made in one step
+        local = p.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(new := f"{local}.{uuid.uuid4().hex}.tmp", "w") as f:
+            f.write(text)
+        try:
+            os.link(new, local)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.remove(new)
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def log_entries(spark: SparkSession, path: str) -> dict[int, dict]:
+    """What the log of the versioned table at path says, by number; a file that is still being written is left out."""
+    fs, p = _at(spark, f"{path}/log")
+    if not fs.exists(p):
+        return {}
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    rows = spark.read.text([f"{path}/log/{n}" for n in names if n.isdigit()], wholetext=True).select("_metadata.file_name", "value").collect() if any(n.isdigit() for n in names) else []
+    return {int(n): json.loads(v) for n, v in rows if v.endswith("}")}
+
+
+def current_number(spark: SparkSession, path: str) -> int:
+    """The number of the version in force; 0 before the first."""
+    return max(log_entries(spark, path), default=0)
+
+
+def name_version(spark: SparkSession, path: str, version: str, base: int, **more) -> bool:
+    """Puts a version that is written in force as number base + 1, unless there is such a number."""
+    at = datetime.now(timezone.utc).isoformat()
+    return create_once(spark, f"{path}/log/{base + 1}", json.dumps({"version": version, "at": at, **more}))
+
+
+def commit(spark: SparkSession, path: str, df: DataFrame, caller: str, base: int) -> bool:
+    """Writes df as version base + 1; if another writer made that number first, nothing is changed and the answer is False."""
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path}/data/{version}")
+    if name_version(spark, path, version, base, caller=caller):
+        return True
+    fs, p = _at(spark, f"{path}/data/{version}")
+    fs.delete(p, True)
+    return False
+
+
+def clean_up(spark: SparkSession, path: str, keep: int = 1, older_than: float = 86_400.0) -> list[str]:
+    """Removes the folders of versions that neither are among the last `keep` nor younger than so many seconds; returns their names.
+
+    Those left by failed writers go too. A writer or reader that takes longer than older_than would lose its folder.
+    """
+    entries = log_entries(spark, path)
+    stay = {entries[n]["version"] for n in sorted(entries)[-keep:]} if keep else set()
+    fs, p = _at(spark, f"{path}/data")
+    old = [f.getPath() for f in (fs.listStatus(p) if fs.exists(p) else []) if f.getModificationTime() <= (time.time() - older_than) * 1000 and f.getPath().getName() not in stay]
+    for f in old:
+        fs.delete(f, True)
+    return sorted(f.getName() for f in old)
+
+
+def safe_overwrite(spark: SparkSession, path: str, df: DataFrame, caller: str, check: Callable[[DataFrame], str | None] = lambda _: None, base: int | None = None) -> str:
     """Writes df as the new version of the table at path and returns its name. check(df) says what is wrong with the version written, or None.
 
-    Every attempt leaves a row in the audit log; after a failed one readers still see the version before.
+    base is the number that df was made from: if there is a newer one by now, Conflict is raised. Without base the last writer wins. Every
+    attempt leaves a row in the audit log; after a failed one readers still see the version before.
     """
     import hashlib
 
@@ -47,6 +135,9 @@ def safe_overwrite(spark: SparkSession, path: str, df: DataFrame, caller: str, c
         df.observe(seen, *batch_hash(df)).write.parquet(f"{path}/data/{version}")
         if error := check(spark.read.schema(df.schema).parquet(f"{path}/data/{version}")):
             raise ValueError(error)
+        while not name_version(spark, path, version, current_number(spark, path) if base is None else base, caller=caller):
+            if base is not None:
+                raise Conflict(f"version {base + 1} is there already")
     except Exception as e:
         audit(spark, path, version=version, caller=caller, operation="overwrite", status="failed", error=str(e)[:2000])
         raise
@@ -57,10 +148,9 @@ def safe_overwrite(spark: SparkSession, path: str, df: DataFrame, caller: str, c
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last valid version; None before the first."""
-    log = existing_rows(spark, f"{path}/audit")
-    last = log.where("status = 'ok'").agg(F.max_by("version", "at").alias("v")).first().v if log is not None else None
-    return spark.read.parquet(f"{path}/data/{last}") if last else None
+    """The version in force; None before the first."""
+    entries = log_entries(spark, path)
+    return spark.read.parquet(f"{path}/data/{entries[max(entries)]['version']}") if entries else None
 
 
 def append_period(spark: SparkSession, path: str, batch: DataFrame, period: str) -> int:
@@ -90,9 +180,7 @@ def write_if_clean(spark: SparkSession, path: str, rows: DataFrame, errors: Data
 
 
 def _folder(spark) -> str:
-    from tallyloom.streaming.ingest import _work_folder
-
-    return _work_folder(spark)
+    return work_folder(spark)
 
 
 def _months(spark, sf_dir) -> DataFrame:
@@ -100,10 +188,12 @@ def _months(spark, sf_dir) -> DataFrame:
 
 
 def sink_append_period(spark, sf_dir):
-    """Four batches of which two come twice, changed: a month that is stored is not written again, nor a batch that holds one such month."""
+    """A batch a year, of which one comes twice, changed, and one with a month of the year before: a month that is stored is not written
+    again, nor a batch that holds one such month, which comes again without it."""
     m, path = _months(spark, sf_dir), f"{_folder(spark)}/months"
     more = m.withColumn("guests", F.col("guests") + 1)
-    for batch in (m.where("year_month = '1997-01'"), more.where("year_month = '1997-01'"), m.where("year_month = '1997-02'"), more.where("year_month IN ('1997-02', '1997-03')")):
+    year = lambda df, op, y: df.where(F.substring("year_month", 1, 4).cast("int") == y if op == "=" else F.substring("year_month", 1, 4).cast("int") > y)
+    for batch in (year(m, "=", 1992), year(more, "=", 1992), *(year(m, "=", y) for y in (1993, 1994, 1995, 1996)), more.where("year_month >= '1996-12'"), year(m, ">", 1996)):
         append_period(spark, path, batch, "year_month")
     return spark.read.schema(m.schema).parquet(path)
 
@@ -121,7 +211,7 @@ def sink_safe_overwrite(spark, sf_dir):
 
 def sink_audit(spark, sf_dir):
     """The audit log of a table written, refused, blocked and written again."""
-    m, path = _months(spark, sf_dir).where("year_month = '1997-01'"), f"{_folder(spark)}/table"
+    m, path = _months(spark, sf_dir), f"{_folder(spark)}/table"
     safe_overwrite(spark, path, m, "first")
     try:
         safe_overwrite(spark, path, m, "second", lambda d: "refused")
@@ -156,7 +246,7 @@ def sink_narrow_rows(spark, sf_dir):
     from tallyloom.operators.ledger import overwrite_snapshot
 
     path = f"{_folder(spark)}/narrow"
-    r = location_row(wide_weeks(spark, sf_dir)).select(F.date_format("period_end", "yyyy-MM").alias("year_month"), F.col("period_end").alias("week_ending"), *(F.col(a).alias(b) for b, a in CUMULATIVE.items())).where("year_month LIKE '1997%'")
+    r = location_row(wide_weeks(spark, sf_dir)).select(F.date_format("period_end", "yyyy-MM").alias("year_month"), F.col("period_end").alias("week_ending"), *(F.col(a).alias(b) for b, a in CUMULATIVE.items()))
     overwrite_snapshot(r, path, "year_month")
     overwrite_snapshot(r.where("year_month = '1997-03' AND guests > 3"), path, "year_month")
     return spark.read.parquet(path).select(F.col("year_month").cast("string").alias("year_month"), "loc_name", "week_ending", "guests", "total_sales")
@@ -175,13 +265,13 @@ def _alerts() -> str:
 
 
 ORACLE = {
-    "sink_append_period": f"WITH {_M} SELECT {_COLS} FROM m WHERE year_month IN ('1997-01', '1997-02')",
+    "sink_append_period": f"WITH {_M} SELECT {_COLS} FROM m",
     "sink_safe_overwrite": f"WITH {_M} SELECT {_COLS} FROM m WHERE year_month < '1998-01'",
-    "sink_audit": f"""WITH {_M}, j AS (SELECT * FROM m WHERE year_month = '1997-01')
+    "sink_audit": f"""WITH {_M}, j AS (SELECT * FROM m)
 SELECT 'first' AS caller, 'overwrite' AS operation, (SELECT count(*) FROM j) AS n_rows, 'ok' AS status, NULL AS error UNION ALL SELECT 'second', 'overwrite', NULL, 'failed', 'refused'
 UNION ALL SELECT 'third', 'gate', 0, 'blocked', '1 or more errors' UNION ALL SELECT 'fourth', 'overwrite', (SELECT count(*) FROM j WHERE guests > 1), 'ok', NULL""",
     "sink_ledger_counts": f"""WITH {_M}, c AS (SELECT count(*) AS n, count(*) FILTER (year_month LIKE '1996%') AS a, count(*) FILTER (year_month = '1996-04') AS b FROM m)
 SELECT 1 AS batch, a + b AS received, b AS repeated, 0 AS stored, a AS appended FROM c UNION ALL SELECT 2, n, 0, a, n - a FROM c""",
     "sink_anomaly_log": f"SELECT kind AS alert_type, severity, count(*) AS n, 0 AS n_messages, count(*) AS n_dated FROM ({_alerts()}) GROUP BY 1, 2",
-    "sink_narrow_rows": f"""WITH {facts.WEEKS_SQL} SELECT year_month, loc_name, week_ending, guests::DOUBLE AS guests, service::DOUBLE + product::DOUBLE AS total_sales FROM lw WHERE year_month LIKE '1997%' AND (year_month <> '1997-03' OR guests > 3)""",
+    "sink_narrow_rows": f"""WITH {facts.WEEKS_SQL} SELECT year_month, loc_name, week_ending, guests::DOUBLE AS guests, service::DOUBLE + product::DOUBLE AS total_sales FROM lw WHERE year_month <> '1997-03' OR guests > 3""",
 }
