@@ -12,11 +12,15 @@ from tallyloom.functions import kpi
 from tallyloom.operators.people import closeness, moves, similarity, steps, to_100
 from tallyloom.operators.trust import check
 from tallyloom.sources import facts
+from tallyloom.sources.tables import parquet
+from tallyloom.sources.work import stored, work_folder
 
 #: Confidence from which a move needs no review, and from which it needs no grace period.
 SURE, FAST = 0.80, 0.90
 #: Moves of a batch out of one location, in all, and pending, above which a batch is doubtful.
 PER_LOCATION, PER_BATCH, PENDING = 3, 10, 20
+#: Days up to a move within which a visit to the old location is an overlap; weeks of a pattern, and of those, with rows, that make a place regular.
+RECENT, PATTERN, USUAL = 28, 4, 2
 #: Days after which a pending move expires; visits that make a second home; days looked back for them; days of absence that end a stay.
 EXPIRY, REGULAR, LOOK_BACK, AWAY = 14, 2, 364, 180
 # Kinds of corrections.
@@ -48,6 +52,34 @@ def decided(m: DataFrame) -> DataFrame:
     return m.withColumn("state", state)
 
 
+def impact(ticket: Column, guests: Column) -> Column:
+    """What mean changes of ticket and guests after moves to a location say of it; a missing change is none."""
+    t, g = F.coalesce(ticket, F.lit(0.0)), F.coalesce(guests, F.lit(0.0))
+    kind = F.when((t >= 0.10) & (g >= 0.10), "TALENT DEVELOPER").when((t >= 0.05) | (g >= 0.05), "POSITIVE IMPACT")
+    return kind.when((t <= -0.10) | (g <= -0.10), "WARNING").otherwise("NEUTRAL")
+
+
+def location_pattern(rows: DataFrame, weeks: int = PATTERN, usual: int = USUAL) -> DataFrame:
+    """(person, week, primary_location, is_multi_location, secondary_locations, split) of rows(person, week, loc_name, n), for each week with rows.
+
+    Over that week and those before it, `weeks` in all: the location with most rows is primary (ties by name), split is each one's share in
+    thousandths. A person who was at two locations or more in at least `usual` of the weeks each works at several; those other than the
+    primary are secondary. A row counts in each week that it is looked back to from, so there is no join of weeks with weeks.
+    """
+    own = rows.groupBy("person", "week", "loc_name").agg(F.sum("n").alias("n"))
+    later = F.explode(F.transform(F.sequence(F.lit(0), F.lit(weeks - 1)), lambda i: F.struct((i == 0).alias("now"), F.date_add("week", i * 7).alias("at"))))
+    seen = own.select("person", "loc_name", "n", later.alias("x")).select("person", "loc_name", "n", "x.*")
+    per = seen.groupBy("person", "at", "loc_name").agg(F.sum("n").alias("n"), F.count("*").alias("weeks"), F.bool_or("now").alias("now"))
+    places = F.collect_list(F.struct("loc_name", "n", "weeks"))
+    out = per.groupBy("person", F.col("at").alias("week")).agg(F.array_sort(places).alias("p"), F.sum("n").alias("total"), F.bool_or("now").alias("now")).where("now")
+    first = F.array_sort(F.transform("p", lambda x: F.struct((-x["n"]).alias("n"), x["loc_name"].alias("loc_name"))))[0]["loc_name"]
+    out = out.withColumn("primary_location", first).withColumn("_usual", F.transform(F.filter("p", lambda x: x["weeks"] >= usual), lambda x: x["loc_name"]))
+    multi = F.size("_usual") >= 2
+    others = F.filter("_usual", lambda x: x != F.col("primary_location"))
+    split = F.array_join(F.transform("p", lambda x: F.concat_ws(":", x["loc_name"], F.floor(x["n"] * 1000 / F.col("total")).cast("string"))), ";")
+    return out.select("person", "week", "primary_location", multi.alias("is_multi_location"), F.when(multi & (F.size(others) > 0), F.array_join(others, ";")).alias("secondary_locations"), split.alias("split"))
+
+
 def batch_checks(batch: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, name, status, severity) of moves(keys, from_loc, score, state): volume a location and in all, doubtful ones, the pending queue."""
     per = batch.groupBy(*keys, "from_loc").agg(F.count("*").alias("n"), F.count_if(F.col("score") < SURE).alias("low"), F.count_if(F.col("state") == "pending").alias("pending"))
@@ -86,13 +118,6 @@ def audit_trail(log: DataFrame) -> DataFrame:
     return out.select("person", F.row_number().over(w).cast("long").alias("place"), F.when(F.col("corrects").isNull(), "Transfer Detected").otherwise("Correction Applied").alias("event"), "event_id", "version", "status", "score", "original_score", "kind", "corrected_loc", "corrected_day")
 
 
-def revert_orders(people: DataFrame, orders: DataFrame, least: float = 0.85) -> DataFrame:
-    """people(loc_name, name) who must get a new id: an active order of their location names someone similar enough."""
-    active = orders.where("status = 'active'").select("loc_name", F.col("name").alias("reverted"))
-    hit = people.join(active, "loc_name").where(similarity(F.lower("name"), F.lower("reverted")) >= least)
-    return people.join(hit.select("loc_name", "name").distinct().withColumn("_hit", F.lit(True)), ["loc_name", "name"], "left").withColumn("action", F.when(F.col("_hit"), "create_new").otherwise("proceed")).drop("_hit")
-
-
 def _scored(spark, sf_dir) -> DataFrame:
     """Moves with context and confidence; names differ by the person's number, and volume and work are those of the two visits."""
     v = with_context(facts.visits(spark, sf_dir))
@@ -102,9 +127,9 @@ def _scored(spark, sf_dir) -> DataFrame:
     typed = F.when(k < 7, known).when(k < 9, F.concat(known, F.lit("xy"))).otherwise("zzzzzzzz")
     like = (closeness(F.col("prior_revenue"), F.col("revenue")) + closeness(F.col("prior_lines"), F.col("n_lines"))) / 2
     volume = closeness(F.col("prior_lines"), F.col("n_lines")) * 0.4 + closeness(F.col("prior_revenue"), F.col("revenue")) * 0.6
-    back = (F.col("next_loc") == F.col("from_loc")) & (F.datediff("next_day", "day") <= 28)
+    seen = F.datediff("day", "prior_day") <= RECENT  # the visit before is the last one at the old location
     names = m.select("person").distinct().withColumn("name_similarity", similarity(typed, known))  # one comparison a person
-    m = m.join(names, "person").withColumns({"performance": like, "volume": volume, "overlap": F.coalesce(back, F.lit(False))})
+    m = m.join(names, "person").withColumns({"performance": like, "volume": volume, "overlap": seen})
     return decided(m.withColumn("score", confidence(F.col("name_similarity"), F.col("performance"), F.col("overlap"), F.col("volume"))))
 
 
@@ -118,6 +143,13 @@ def multi_location_guard(spark, sf_dir):
     return m.select("person", "visit", "to_loc", "n_here", "n_all", kpi.ratio(F.col("n_here"), F.col("n_all")).alias("share"), (F.col("n_here") < REGULAR).alias("is_transfer"))
 
 
+def multi_location_pattern(spark, sf_dir):
+    """Where the lines that each customer bought in a week and the three before it came from."""
+    orders = parquet(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person"))
+    rows = facts.lines(spark, sf_dir).join(orders, "l_orderkey").select("person", "loc_name", F.next_day(F.date_sub("day", 1), "SU").alias("week"), F.lit(1).alias("n"))
+    return location_pattern(rows)
+
+
 def transfer_detection(spark, sf_dir):
     return _scored(spark, sf_dir).select("person", "visit", "from_loc", "to_loc", "state")
 
@@ -134,6 +166,7 @@ def transfer_counts(spark, sf_dir):
 
 def _log(spark, sf_dir) -> DataFrame:
     events = moves(facts.visits(spark, sf_dir)).select(F.concat(F.lit("t"), F.col("visit")).alias("event_id"), F.lit(1).cast("long").alias("version"), F.lit("active").alias("status"), "person", "visit", "from_loc", "to_loc", "day", F.round(closeness(F.col("prior_revenue"), F.col("revenue")), 3).alias("score"))
+    events = stored(events, work_folder(spark))
     kind = F.element_at(F.array(*map(F.lit, CORRECTIONS)), (F.col("visit") % 4 + 1).cast("int"))
     given = events.where("visit % 5 = 0").select("event_id", kind.alias("kind"), F.lit("checked").alias("reason"), F.lit("NATION_0").alias("location"), F.date_add("day", 7).alias("day"))
     return correct(events, given)
@@ -144,14 +177,7 @@ def transfer_corrections(spark, sf_dir):
 
 
 def transfer_audit_trail(spark, sf_dir):
-    return audit_trail(_log(spark, sf_dir))
-
-
-def revert_check(spark, sf_dir):
-    """Persons of a location against revert orders: those of every fifth person are active, of every fifth other one completed."""
-    p = facts.places(spark, sf_dir).select("loc_name", "s_suppkey", F.substring(F.translate(F.md5(F.col("stylist_name").cast("binary")), "0123456789", "ghijklmnop"), 1, 12).alias("name"))
-    orders = p.where("s_suppkey % 5 < 2").select("loc_name", "name", F.when(F.col("s_suppkey") % 5 == 0, "active").otherwise("completed").alias("status"))
-    return revert_orders(p.select("loc_name", F.concat("name", F.lit("q")).alias("name")), orders)
+    return audit_trail(stored(_log(spark, sf_dir), work_folder(spark)))
 
 
 def weekly_enrichment(spark, sf_dir):
@@ -182,18 +208,11 @@ def temporary_coverage(spark, sf_dir):
     return m.select("person", "visit", "to_loc", F.coalesce(F.col("next_loc") == F.col("from_loc"), F.lit(False)).alias("coverage"))
 
 
-def manual_actions(spark, sf_dir):
-    """Moves after manual orders: every fourth visit's is reverted, every fourth other one's dated a week earlier, others stand."""
-    m = moves(facts.visits(spark, sf_dir))
-    k = F.col("visit") % 4
-    return m.select("person", "visit", F.when(k == 0, "INVALID").otherwise("CONFIRMED").alias("status"), F.when(k == 1, F.date_sub("day", 7)).otherwise(F.col("day")).alias("effective_day"), F.when(k == 0, F.col("from_loc")).otherwise(F.col("to_loc")).alias("stands_at"))
-
-
 def location_transfer_impact(spark, sf_dir):
     """Mean relative changes of revenue and lines over the moves to each location."""
     m = moves(facts.visits(spark, sf_dir)).withColumns({c: F.try_divide((F.col(a) - F.col(b)).cast("double"), F.col(b).cast("double")) for c, a, b in (("r", "revenue", "prior_revenue"), ("n", "n_lines", "prior_lines"))})
     out = m.groupBy(F.col("to_loc").alias("loc_name")).agg(F.count("*").alias("n_moves"), kpi.mean(F.col("r")).alias("revenue_change"), kpi.mean(F.col("n")).alias("lines_change"))
-    return out.withColumn("verdict", F.when(F.col("revenue_change") <= -0.10, "declining").when(F.col("revenue_change") >= 0.10, "improving").otherwise("steady"))
+    return out.withColumn("verdict", impact(F.col("revenue_change"), F.col("lines_change")))
 
 
 def location_effect_rank(spark, sf_dir):
@@ -221,8 +240,8 @@ def transfer_net(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        transfer_confidence, multi_location_guard, transfer_detection, transfer_checks, transfer_counts, transfer_corrections, transfer_audit_trail, revert_check, weekly_enrichment,
-        departures_and_returns, pending_queue, temporary_coverage, manual_actions, location_transfer_impact, location_effect_rank, transfer_net,
+        transfer_confidence, multi_location_guard, multi_location_pattern, transfer_detection, transfer_checks, transfer_counts, transfer_corrections, transfer_audit_trail, weekly_enrichment,
+        departures_and_returns, pending_queue, temporary_coverage, location_transfer_impact, location_effect_rank, transfer_net,
     )
 }
 
@@ -237,7 +256,7 @@ _CLOSE = "(CASE WHEN {a} IS NULL OR {b} IS NULL OR {a} = 0 OR {b} = 0 THEN 0.5::
 _CR, _CN = _CLOSE.format(a="prior_revenue", b="revenue"), _CLOSE.format(a="prior_lines", b="n_lines")
 _STEP = "CASE WHEN {v} > {h}::DOUBLE THEN 0.25::DOUBLE WHEN {v} > {l}::DOUBLE THEN 0.15::DOUBLE ELSE 0.05::DOUBLE END"
 _SCORED = f"""{_CTX},
-f AS (SELECT *, 7 + length(person::VARCHAR) AS n, ({_CR} + {_CN}) / 2 AS performance, {_CN} * 0.4::DOUBLE + {_CR} * 0.6::DOUBLE AS volume, coalesce(next_loc = from_loc AND next_day - day <= 28, false) AS overlap FROM mv),
+f AS (SELECT *, 7 + length(person::VARCHAR) AS n, ({_CR} + {_CN}) / 2 AS performance, {_CN} * 0.4::DOUBLE + {_CR} * 0.6::DOUBLE AS volume, day - prior_day <= {RECENT} AS overlap FROM mv),
 g AS (SELECT *, round(CASE WHEN person % 10 < 7 THEN 0.3::DOUBLE WHEN person % 10 = 9 THEN 0.05::DOUBLE WHEN 2.0 * n / (2 * n + 2) > 0.95 THEN 0.3::DOUBLE WHEN 2.0 * n / (2 * n + 2) > 0.85 THEN 0.2::DOUBLE ELSE 0.05::DOUBLE END
   + {_STEP.format(v="performance", h=0.7, l=0.5)} + CASE WHEN overlap THEN 0.02::DOUBLE ELSE 0.2::DOUBLE END + {_STEP.format(v="volume", h=0.8, l=0.6)}, 3) AS score FROM f),
 sc AS (SELECT *, strftime(day, '%Y-%m') AS year_month, CASE WHEN n_here >= {REGULAR} THEN 'secondary' WHEN score >= {FAST}::DOUBLE AND NOT overlap THEN 'fast_tracked' WHEN next_loc IS NULL THEN 'pending'
@@ -263,15 +282,19 @@ SELECT year_month, x.name AS name, CASE WHEN x.bad THEN 'warn' ELSE 'pass' END A
     "transfer_audit_trail": f"""WITH {_LOG} SELECT l.person, row_number() OVER (PARTITION BY l.person ORDER BY l.day, l.visit, l.version) AS place,
   CASE WHEN l.corrects IS NULL THEN 'Transfer Detected' ELSE 'Correction Applied' END AS event, l.event_id, l.version, l.status, CASE WHEN l.corrects IS NULL THEN l.score END AS score, o.score AS original_score, l.kind, l.corrected_loc, l.corrected_day
   FROM log l LEFT JOIN log o ON o.event_id = l.corrects""",
-    "revert_check": f"""WITH {facts.LINES_SQL} SELECT loc_name, substr(translate(md5(stylist_name), '0123456789', 'ghijklmnop'), 1, 12) || 'q' AS name, CASE WHEN s_suppkey % 5 = 0 THEN 'create_new' ELSE 'proceed' END AS action FROM places""",
     "weekly_enrichment": f"""WITH {_CTX} SELECT person, visit, coalesce(from_loc <> loc_name, false) AS is_transfer, CASE WHEN from_loc <> loc_name THEN from_loc END AS transferred_from, (day - hired) // 7 AS tenure_weeks FROM ctx""",
     "departures_and_returns": f"WITH {_CTX} SELECT person, visit, from_loc, loc_name AS to_loc, day - prior_day AS days_absent, 'reactivation' AS kind FROM ctx WHERE day - prior_day > {AWAY}",
     "pending_queue": f"WITH {_CTX} SELECT person, visit, to_loc, CASE WHEN (SELECT max(day) FROM visits) - day > {EXPIRY} THEN 'expired' ELSE 'pending' END AS state FROM mv WHERE next_loc IS NULL",
     "temporary_coverage": f"WITH {_CTX} SELECT person, visit, to_loc, coalesce(next_loc = from_loc, false) AS coverage FROM mv",
-    "manual_actions": f"""WITH {_CTX} SELECT person, visit, CASE WHEN visit % 4 = 0 THEN 'INVALID' ELSE 'CONFIRMED' END AS status, CASE WHEN visit % 4 = 1 THEN day - 7 ELSE day END AS effective_day, CASE WHEN visit % 4 = 0 THEN from_loc ELSE to_loc END AS stands_at FROM mv""",
     "location_transfer_impact": f"""WITH {_CTX}, t AS (SELECT to_loc AS loc_name, count(*) AS n_moves, {kpi.mean_sql("(revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)")} AS revenue_change,
   {kpi.mean_sql("(n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)")} AS lines_change FROM mv GROUP BY 1)
-SELECT *, CASE WHEN revenue_change <= -0.1::DOUBLE THEN 'declining' WHEN revenue_change >= 0.1::DOUBLE THEN 'improving' ELSE 'steady' END AS verdict FROM t""",
+SELECT *, CASE WHEN revenue_change >= 0.1::DOUBLE AND lines_change >= 0.1::DOUBLE THEN 'TALENT DEVELOPER' WHEN greatest(revenue_change, lines_change) >= 0.05::DOUBLE THEN 'POSITIVE IMPACT'
+  WHEN least(revenue_change, lines_change) <= -0.1::DOUBLE THEN 'WARNING' ELSE 'NEUTRAL' END AS verdict FROM t""",
+    "multi_location_pattern": f"""WITH {facts.LINES_SQL}, b AS (SELECT o_custkey AS person, loc_name, day + (7 - isodow(day))::INT AS week, count(*) AS n FROM lines JOIN orders ON o_orderkey = l_orderkey GROUP BY ALL), a AS (SELECT DISTINCT person, week FROM b),
+s AS (SELECT a.person, a.week, b.loc_name, sum(b.n) AS n, count(DISTINCT b.week) AS weeks FROM a JOIN b ON b.person = a.person AND b.week BETWEEN a.week - {7 * (PATTERN - 1)} AND a.week GROUP BY ALL),
+p AS (SELECT person, week, arg_min(loc_name, (-n, loc_name)) AS primary_location, sum(n) AS total, count(*) FILTER (weeks >= {USUAL}) AS usual FROM s GROUP BY ALL)
+SELECT person, week, primary_location, usual >= 2 AS is_multi_location, (SELECT string_agg(loc_name, ';' ORDER BY loc_name) FROM s WHERE s.person = p.person AND s.week = p.week AND weeks >= {USUAL} AND usual >= 2 AND loc_name <> primary_location) AS secondary_locations,
+  (SELECT string_agg(loc_name || ':' || ((1000 * n) // total)::BIGINT, ';' ORDER BY loc_name) FROM s WHERE s.person = p.person AND s.week = p.week) AS split FROM p""",
     "location_effect_rank": f"""WITH {_CTX}, l AS (SELECT person, arg_max(loc_name, (day, visit)) AS last_loc FROM visits GROUP BY 1),
 t AS (SELECT to_loc AS loc_name, {kpi.mean_sql("(revenue - prior_revenue)::DOUBLE / nullif(prior_revenue::DOUBLE, 0)")} AS ticket_effect, {kpi.mean_sql("(n_lines - prior_lines)::DOUBLE / nullif(prior_lines::DOUBLE, 0)")} AS guest_effect,
   {kpi.mean_sql("((day - prior_day) - (next_day - day))::DOUBLE / nullif((day - prior_day)::DOUBLE, 0)")} AS rebooking_effect, count(*) FILTER (last_loc = to_loc)::DOUBLE / count(*) AS retention FROM mv JOIN l USING (person) GROUP BY 1),
