@@ -10,6 +10,9 @@ from tallyloom.operators.summaries import CENT, STAFF, is_artifact
 from tallyloom.sources import facts
 
 MONEY = facts.MONEY
+# Labels of the dashboard's first column and the fields beside them, and the names of categories in each bucket.
+DASHBOARD = {"store name:": "store_name", "report period:": "period", "total service": "service", "total retail": "product", "total revenue": "revenue", "total guests": "guests", "tips": "tips", "production hours": "hours"}
+BUCKETS = {"color": ("color", "colour"), "wax": ("wax", "waxing"), "treatment": ("treatment", "treatments")}
 SHEET = ["loc_name", "year_month"]
 # Column headers of the provider report and the fields they hold.
 PROVIDER = {"provider name": "name", "service sales": "service", "retail sales": "product", "hours worked": "hours", "service clients": "clients", "req %": "req"}
@@ -35,6 +38,76 @@ def read_table(cells: DataFrame, keys: list[str], header: DataFrame, fields: lis
     return rows.withColumn("_t", first).where("_t IS NULL OR r <= _t").drop("_t")
 
 
+def stitched(cells: DataFrame, keys: list[str], names: dict[str, str], first: str) -> DataFrame:
+    """(keys, r, c, v) of sheets that were printed over several pages: cells(keys, page, r, c, v) as one sheet, as if it had one page.
+
+    A page whose first column of cells holds the label `first` repeats the header; its columns hold what that header says, even if they
+    changed places. A page without one goes on under the header of the last page before it that has one, moved sideways by as much as its
+    left edge is. Rows are numbered over all pages in order; the first header becomes row 0, columns are those of the fields in names, in
+    order, and repeated headers, cells under no label and what stands before the first header are left out. Empty pages and sheets
+    without a header give nothing.
+    """
+    label = parsing.header(F.col("v"))
+    full = cells.where(F.trim("v") != "")
+    edge = full.groupBy(*keys, "page").agg(F.min("c").alias("left"))
+    known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    at = full.join(edge, [*keys, "page"]).where((F.col("c") == F.col("left")) & (label == first)).groupBy(*keys, "page").agg(F.min("r").alias("header_row"))
+    heads = full.join(at, [*keys, "page"]).where("r = header_row").withColumn("field", F.try_element_at(known, label)).where("field IS NOT NULL")
+    heads = heads.groupBy(*keys, "page", "header_row", "field").agg(F.min("c").alias("c"))
+    heads = heads.groupBy(*keys, "page", "header_row").agg(F.map_from_entries(F.collect_list(F.struct("c", "field"))).alias("fields"))
+    w = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pages = edge.join(heads, [*keys, "page"], "left").withColumn("_left", F.when(F.col("fields").isNotNull(), F.col("left")))
+    pages = pages.withColumns({"fields": F.last("fields", True).over(w), "shift": F.col("left") - F.last("_left", True).over(w)}).where("fields IS NOT NULL")
+    rows = full.join(pages, [*keys, "page"]).where("header_row IS NULL OR r > header_row")
+    fields = list(dict.fromkeys(names.values()))
+    column = F.create_map(*(F.lit(x) for i, f in enumerate(fields) for x in (f, i)))
+    rows = rows.withColumn("c", F.try_element_at(column, F.try_element_at("fields", F.col("c") - F.col("shift")))).where("c IS NOT NULL")
+    order = Window.partitionBy(*keys).orderBy("page", "r")
+    rows = rows.select(*keys, F.dense_rank().over(order).alias("r"), "c", "v")
+    label_of = {f: next(k for k, x in names.items() if x == f) for f in fields}
+    header = pages.select(*keys).distinct().select("*", F.lit(0).alias("r"), F.posexplode(F.array(*(F.lit(label_of[f]) for f in fields))).alias("c", "v"))
+    return header.unionByName(rows)
+
+
+def dashboard_categories(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, name, qty, sales, is_total) of the table under `Service Categories`: rows up to the first without a name or to TOTALS. Its
+    header says where qty and sales stand, by default in the second and fifth column; rows without sales are left out, but for TOTALS."""
+    label = F.lower(F.trim("v"))
+    head = cells.where((F.col("c") == 0) & (label == "service categories")).groupBy(*keys).agg(F.min("r").alias("h"))
+    at = lambda name, column: F.coalesce(F.max(F.when(label == name, F.col("c"))), F.lit(column)).alias(f"_{name}")
+    head = cells.join(head, keys).where("r = h").groupBy(*keys, "h").agg(at("qty", 1), at("sales", 4))
+    value = lambda name: parsing.money(F.max(F.when(F.col("c") == F.col(f"_{name}"), F.col("v")))).alias(name)
+    rows = cells.join(head, keys).where("r > h").groupBy(*keys, "h", "r").agg(F.max(F.when(F.col("c") == 0, F.trim("v"))).alias("name"), value("qty"), value("sales"))
+    rows = rows.where("coalesce(name, '') <> ''").withColumn("is_total", F.lower("name") == "totals")
+    w = Window.partitionBy(*keys).orderBy("r")
+    before = F.coalesce(F.sum(F.col("is_total").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumns({"_n": F.row_number().over(w), "_t": before}).where("r - h = _n AND _t = 0")
+    return rows.where("is_total OR sales IS NOT NULL").select(*keys, "name", "qty", "sales", "is_total")
+
+
+def dashboard_rows(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """A location's row of each dashboard sheet: the figures beside its labels, the first of equal ones, the buckets of its categories, and flags.
+
+    All categories together, those of no bucket and negative ones too, must be the service to the cent: gap says by how much they are not.
+    flags holds unreconciled, totals_row and revenue where the sums, the printed TOTALS row or the printed revenue do not agree.
+    """
+    label = F.lower(F.trim("v"))
+    beside = cells.where("c = 1").select(*keys, "r", F.col("v").alias("value"))
+    pairs = cells.where("c = 0").select(*keys, "r", label.alias("label")).where(F.col("label").isin(*DASHBOARD)).join(beside, [*keys, "r"])
+    out = pairs.groupBy(*keys).agg(*(F.min_by("value", F.when(F.col("label") == k, F.col("r"))).alias(f) for k, f in DASHBOARD.items()))
+    c = dashboard_categories(cells, keys)
+    kept, name = ~F.col("is_total"), F.lower("name")
+    sums = [F.sum(F.when(kept & name.isin(*names), F.col(v))).alias(f"{b}_{n}") for b, names in BUCKETS.items() for n, v in (("net", "sales"), ("count", "qty"))]
+    c = c.groupBy(*keys).agg(*sums, F.sum(F.when(kept, F.col("sales"))).alias("categories_net"), F.max(F.when(~kept, F.col("sales"))).alias("printed"))
+    day = lambda n: F.try_to_date(F.regexp_extract("period", r"(\d{1,2}/\d{1,2}/\d{4}).*?(\d{1,2}/\d{1,2}/\d{4})", n), "M/d/yyyy")
+    money = {f: parsing.money(F.col(f)) for f in ("service", "product", "revenue", "tips")}
+    out = out.withColumns({"period_start": day(1), "period_end": day(2), "guests": parsing.money(F.col("guests")).cast("long"), "hours": F.round(parsing.hours(F.col("hours")), 2), **money})
+    out = out.join(c, keys, "left").withColumns({"total_sales": F.col("service") + F.col("product"), "gap": F.col("service") - F.col("categories_net")})
+    off = lambda a, b, flag: F.when(F.abs(a - b) > CENT, F.lit(flag))
+    flags = F.array_compact(F.array(off(F.col("gap"), F.lit(0), "unreconciled"), off(F.col("printed"), F.col("service"), "totals_row"), off(F.col("revenue"), F.col("total_sales"), "revenue")))
+    return out.withColumns({"reconciled": F.coalesce(F.abs("gap") <= CENT, F.lit(False)), "flags": F.array_join(flags, ";")}).drop("period", "printed")
+
+
 def provider_rows(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the provider report with figures, and kind: total, artifact, active (service or hours) or zero."""
     rows = read_table(cells, keys, header_map(cells, keys, PROVIDER, first="provider name"), list(dict.fromkeys(PROVIDER.values())), "totals")
@@ -122,6 +195,26 @@ def provider_kinds(spark, sf_dir):
     return kpi.plain(out, [*SHEET, "name", "kind", "service", "product", "hours", "clients"])
 
 
+def _paged(cells: DataFrame) -> DataFrame:
+    """Sheets cut into pages of four rows, of which every third repeats the header; pages lie one, two or no columns to the right of the
+    first, in the order of their numbers, and begin to count rows anew."""
+    label = parsing.header(F.col("v"))
+    at = cells.where((F.col("c") == 0) & (label == "provider name")).groupBy(*SHEET).agg(F.min("r").alias("h"))
+    cells = cells.join(at, SHEET)
+    page = F.greatest(F.lit(0), F.floor((F.col("r") - F.col("h") - 1) / 4)).cast("int")
+    body = cells.select(*SHEET, page.alias("page"), "r", "c", "v", "h")
+    again = body.where("r > h AND page % 3 = 2").select(*SHEET, "page").distinct().join(cells.where("r = h"), SHEET).select(*SHEET, "page", F.col("h").alias("r"), "c", "v", "h")
+    every = body.unionByName(again)
+    row = F.when((F.col("page") > 0) & (F.col("r") == F.col("h")), F.lit(0)).when(F.col("page") > 0, F.col("r") - F.col("h") - F.col("page") * 4).otherwise(F.col("r"))
+    return every.select(*SHEET, "page", row.cast("int").alias("r"), (F.col("c") + F.col("page") % 3).alias("c"), "v")
+
+
+def paged_providers(spark, sf_dir):
+    """Provider reports printed over several pages, with repeated and missing headers and shifted columns, give the rows of the whole sheet."""
+    out = provider_rows(stitched(_paged(_provider_cells(spark, sf_dir)), SHEET, PROVIDER, "provider name"), SHEET)
+    return kpi.plain(out, [*SHEET, "name", "kind", "service", "product", "hours", "clients"])
+
+
 def provider_totals(spark, sf_dir):
     return totals_gap(provider_rows(_provider_cells(spark, sf_dir), SHEET), SHEET)
 
@@ -147,6 +240,28 @@ def grid_label(spark, sf_dir):
     return parsing.grid_value(pairs, SHEET, "Store name:")
 
 
+def dashboard_salon_rows(spark, sf_dir):
+    """Dashboards of all location-months: one in three has its columns elsewhere, in May a category is missing, in June the revenue is off."""
+    g = _staff(spark, sf_dir).groupBy(*SHEET).agg(*(F.sum(c).alias(c) for c in ("guests", "service", "product", "prod_hours", "wax_count", "wax", "color", "treat_count", "treat")))
+    m = F.substring("year_month", 6, 2).cast("int")
+    rest = F.col("service") - F.col("wax") - F.col("color") - F.col("treat") + 20 - 3
+    first = F.to_date(F.concat("year_month", F.lit("-01")))
+    s = lambda c: c.cast("string")
+    pair = lambda a, b: F.array(F.lit(a), b)
+    row = lambda name, qty, sales: F.when(m % 3 == 0, F.array(F.lit(name), F.lit("-"), s(sales), s(qty))).otherwise(F.array(F.lit(name), s(qty), F.lit("-"), F.lit("1%"), s(sales)))
+    head = F.when(m % 3 == 0, F.array(*map(F.lit, ("Service Categories", "x", "Sales", "Qty")))).otherwise(F.array(*map(F.lit, ("Service Categories", "Qty", "Avg", "%", "Sales"))))
+    lines = F.array(
+        pair(" Store name: ", F.concat(F.lit("FS - "), F.col("loc_name"))), pair("Report period:", F.concat(F.date_format(first, "MM/dd/yyyy"), F.lit(" - "), F.date_format(F.last_day(first), "M/d/yyyy"))),
+        pair("Total Service", F.concat(F.lit("$"), _text("service"))), pair("TOTAL RETAIL", _text("product")), pair("Total Revenue", _text(F.col("service") + F.col("product") + F.when(m == 6, 1).otherwise(0))),
+        pair("TOTAL Guests", s(F.col("guests"))), pair("Total Service", F.lit("1")), pair("Tips", F.lit("$12.50")), pair("Production Hours", F.concat(s(F.floor("prod_hours")), F.lit("h 30m"))), head,
+        row("Haircut", F.lit(5), rest), row("Color", F.col("wax_count"), F.col("color")), row("Colour", F.lit(1), F.lit(3)), row("Waxing", F.col("wax_count"), F.col("wax")), row("None", F.lit(1), F.lit(-20)),
+        F.when(m != 5, row("Treatments", F.col("treat_count"), F.col("treat"))).otherwise(F.array(F.lit("Note"), F.lit("no figures"))), row("TOTALS", F.lit(9), F.col("service")), row("Wax", F.lit(99), F.lit(99)),
+    )
+    cells = g.select(*SHEET, F.posexplode(lines).alias("r", "line")).select(*SHEET, "r", F.posexplode("line").alias("c", "v"))
+    out = dashboard_rows(cells, SHEET)
+    return kpi.plain(out, out.columns)
+
+
 def category_reconciliation(spark, sf_dir):
     """Service by category, a refund as a negative one, against a location-month's service: gap and gap as a share."""
     li = facts.lines(spark, sf_dir).withColumn("year_month", facts.year_month(F.col("week_ending"))).where("p_type <> 'PROMO'")
@@ -233,7 +348,7 @@ def tracker_years(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (provider_header, provider_kinds, provider_totals, provider_contract, grid_label, category_reconciliation, employee_rows, employee_totals, tracker_blocks, tracker_weeks, tracker_years)
+    for f in (provider_header, provider_kinds, paged_providers, provider_totals, provider_contract, grid_label, dashboard_salon_rows, category_reconciliation, employee_rows, employee_totals, tracker_blocks, tracker_weeks, tracker_years)
 }
 
 _ST = f"""{facts.LINES_SQL},
@@ -253,6 +368,13 @@ UNION ALL SELECT loc_name, year_month, 'Totals', 'total', (service - 17.5)::DOUB
 SELECT year_month, stylist_name AS name, loc_name, loc_id, 'salon_ultimate' AS platform, guests AS invoices, guests, s AS net_service, p AS net_product, {_R2("s + p", "guests")} AS avg_ticket, {_R2("s", "h")} AS pph, {_R2("p", "guests")} AS ppg, h AS production_hours,
   'tracker' AS source, first AS period_start, last_day(first) AS period_end, 0.25::DOUBLE AS req_pct, 0.0::DOUBLE AS avg_service_time_min FROM z""",
     "grid_label": f"WITH {_ST} SELECT loc_name, year_month, loc_name AS value FROM sheets",
+    "dashboard_salon_rows": f"""WITH {_ST}, g AS (SELECT loc_name, year_month, sum(guests) AS guests, sum(service)::DECIMAL(18,2) AS service, sum(product)::DECIMAL(18,2) AS product, sum(prod_hours) AS hours, sum(wax_count) AS wq, sum(wax) AS wax, sum(color) AS color,
+  sum(treat_count) AS tq, sum(treat) AS treat, substr(year_month, 6, 2)::INT AS m, (year_month || '-01')::DATE AS first FROM st GROUP BY ALL),
+x AS (SELECT *, CASE WHEN m = 5 THEN treat ELSE 0 END AS gap FROM g)
+SELECT loc_name, year_month, 'FS - ' || loc_name AS store_name, first AS period_start, last_day(first) AS period_end, service::DOUBLE AS service, product::DOUBLE AS product, (service + product + CASE WHEN m = 6 THEN 1 ELSE 0 END)::DOUBLE AS revenue, guests::BIGINT AS guests,
+  12.5::DOUBLE AS tips, floor(hours)::DOUBLE + 0.5 AS hours, (color + 3)::DOUBLE AS color_net, (wq + 1)::DOUBLE AS color_count, wax::DOUBLE AS wax_net, wq::DOUBLE AS wax_count, CASE WHEN m <> 5 THEN treat::DOUBLE END AS treatment_net, CASE WHEN m <> 5 THEN tq::DOUBLE END AS treatment_count,
+  (service - gap)::DOUBLE AS categories_net, (service + product)::DOUBLE AS total_sales, gap::DOUBLE AS gap, abs(gap) <= 0.01 AS reconciled,
+  concat_ws(';', CASE WHEN abs(gap) > 0.01 THEN 'unreconciled' END, CASE WHEN m = 6 THEN 'revenue' END) AS flags FROM x""",
     "category_reconciliation": f"""WITH {facts.LINES_SQL}, x AS (SELECT loc_name, strftime(week_ending, '%Y-%m') AS year_month, sum(net) AS service, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE net END) AS categories FROM lines WHERE p_type <> 'PROMO' GROUP BY ALL),
 y AS (SELECT loc_name, year_month, service::DOUBLE AS service, categories::DOUBLE AS categories, (service - categories)::DOUBLE AS gap FROM x)
 SELECT *, CASE WHEN service <> 0 THEN gap / abs(service) END AS gap_pct, abs(gap) <= 0.01::DOUBLE AS ok FROM y""",
@@ -262,3 +384,4 @@ SELECT *, CASE WHEN service <> 0 THEN gap / abs(service) END AS gap_pct, abs(gap
     "tracker_weeks": f"WITH {facts.WEEKS_SQL} SELECT loc_name, year_month, dense_rank() OVER (PARTITION BY year_month ORDER BY week_ending) AS week_idx, guests::DOUBLE AS guests, service::DOUBLE AS service FROM lw",
     "tracker_years": f"WITH {facts.MONTHS_SQL} SELECT loc_name, substr(year_month, 6, 2) AS month, substr(year_month, 1, 4) AS year, (service + product)::DOUBLE AS total_sales FROM lm",
 }
+ORACLE["paged_providers"] = ORACLE["provider_kinds"]

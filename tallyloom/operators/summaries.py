@@ -16,7 +16,7 @@ MONEY = facts.MONEY
 DOC = ["loc_name", "year_month"]
 NUMBER = r"^\(?-?\$?[\d,]+(\.\d+)?\)?%?$"
 # Names of rows that are no person, whole and in part.
-ARTIFACTS, ARTIFACT_PARTS = ("house sale", "house _", "booked online", "salon ultimate"), (" mgr", "unknown", "house ")
+ARTIFACTS, ARTIFACT_PARTS = ("all", "house sale", "house _", "booked online", "salon ultimate"), (" mgr", "unknown", "house ")
 #: Largest gap of two sums that should agree.
 CENT = 0.01
 #: The 18 columns that staff rows of every system have.
