@@ -14,9 +14,9 @@ from tallyloom.sources.tables import parquet
 WEEK, MONEY = "week_ending", facts.MONEY
 # The columns of a location's row, of which those that no source has yet are null.
 LOCATION_ROW = (
-    "location_id", "location_name_canonical", "center_name", "pos_system", "period_start", "period_end", "period_type", "period_label", "guest_count", "total_sales_net", "service_net", "product_net", "productive_hours", "product_pct",
+    "location_id", "location_name_canonical", "tableau_center_name", "pos_system", "period_start", "period_end", "period_type", "period_label", "guest_count", "total_sales_net", "service_net", "product_net", "productive_hours", "product_pct",
     "ppg_net", "avg_ticket", "pph_net", "wax_count", "wax_net", "color_net", "treatment_count", "treatment_net", "wax_pct", "color_pct", "treatment_pct", "projection", "monthly_goal", "daily_goal",
-    "prior_year_total_sales", "prior_year_guest_count", "prior_year_ppg", "prior_year_avg_ticket", "ppg_diff_yoy", "avg_ticket_diff_yoy", "sales_pct_yoy", "baseline_2019_total", "source_extract_hash", "data_complete_flag",
+    "prior_year_total_sales", "prior_year_guest_count", "prior_year_ppg", "prior_year_avg_ticket", "ppg_diff_yoy", "avg_ticket_diff_yoy", "sales_pct_yoy", "baseline_2019_total", "source_extract_hash", "generated_at", "data_complete_flag",
 )
 #: Of those, the ones that a narrower row has, under its names.
 CUMULATIVE = {
@@ -71,9 +71,12 @@ def sorted_json_hash(columns: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*(F.col(c) for c in sorted(columns))), {"ignoreNullFields": "false"}), 256)
 
 
-def location_row(df: DataFrame) -> DataFrame:
-    """The wide row of df(location_id, name, center, pos, period, guests, service, product, hours, categories, goal, source). Ratios without a denominator are null;
-    the row is complete if all it is computed from is there."""
+def location_row(df: DataFrame, generated_at: Column | None = None) -> DataFrame:
+    """The wide row, 39 columns, of df(location_id, name, center, pos, period, guests, service, product, hours, categories, goal, source).
+
+    Ratios without a denominator are null; the row is complete if all it is computed from is there. generated_at is by default now.
+    """
+    stamp = F.date_format(F.current_timestamp() if generated_at is None else generated_at, "yyyy-MM-dd'T'HH:mm:ss")
     d = lambda c: F.col(c).cast("double")
     div = lambda a, b, n: rounded(F.try_divide(a, b), n)
     s, p, g, h = d("service"), d("product"), d("guests"), d("prod_hours")
@@ -84,10 +87,10 @@ def location_row(df: DataFrame) -> DataFrame:
     for x in have[1:]:
         complete = complete & x.isNotNull()
     values = {
-        "location_id": F.col("location_id"), "location_name_canonical": F.col("loc_name"), "center_name": F.col("center"), "pos_system": F.col("platform"), "period_start": F.col("period.start"), "period_end": F.col("period.end"), "period_type": F.col("period.type"),
+        "location_id": F.col("location_id"), "location_name_canonical": F.col("loc_name"), "tableau_center_name": F.col("center"), "pos_system": F.col("platform"), "period_start": F.col("period.start"), "period_end": F.col("period.end"), "period_type": F.col("period.type"),
         "period_label": F.col("period.label"), "guest_count": g, "total_sales_net": t, "service_net": s, "product_net": p, "productive_hours": h, "product_pct": div(p, t, 4), "ppg_net": div(p, g, 2), "avg_ticket": div(t, g, 2), "pph_net": div(t, h, 2),
         "wax_count": d("wax_count"), "wax_net": d("wax"), "color_net": d("color"), "treatment_count": d("treat_count"), "treatment_net": d("treat"), "wax_pct": div(d("wax_count"), g, 4), "color_pct": div(d("color"), s, 4), "treatment_pct": div(d("treat_count"), g, 4),
-        "projection": rounded(t / 2, 2) * 25, "monthly_goal": d("goal"), "daily_goal": rounded(d("goal") / 26, 2), "source_extract_hash": F.sha2("source", 256), "data_complete_flag": complete,
+        "projection": rounded(t / 2, 2) * 25, "monthly_goal": d("goal"), "daily_goal": rounded(d("goal") / 26, 2), "source_extract_hash": F.sha2("source", 256), "generated_at": stamp, "data_complete_flag": complete,
     }
     return df.select(*(values.get(c, null).alias(c) for c in LOCATION_ROW))
 
@@ -103,7 +106,7 @@ def _weeks(spark, sf_dir) -> DataFrame:
 
 
 def location_rows(spark, sf_dir):
-    return location_row(_weeks(spark, sf_dir)).drop("prior_year_total_sales", "prior_year_guest_count", "prior_year_ppg", "prior_year_avg_ticket", "ppg_diff_yoy", "avg_ticket_diff_yoy", "sales_pct_yoy", "baseline_2019_total")
+    return location_row(_weeks(spark, sf_dir), F.col(WEEK)).drop("prior_year_total_sales", "prior_year_guest_count", "prior_year_ppg", "prior_year_avg_ticket", "ppg_diff_yoy", "avg_ticket_diff_yoy", "sales_pct_yoy", "baseline_2019_total")
 
 
 def cumulative_rows(spark, sf_dir):
@@ -295,10 +298,10 @@ _DIV = lambda a, b, n: kpi.rounded_sql(f"({a}) / nullif({b}, 0)", n)  # noqa: E7
 _ROWS = f"""{facts.WEEKS_SQL},
 z AS (SELECT lw.*, loc_id, service::DOUBLE AS s, product::DOUBLE AS p, service::DOUBLE + product::DOUBLE AS t, guests::DOUBLE AS g, CASE WHEN weekofyear(week_ending) % 9 <> 0 THEN prod_hours::DOUBLE END AS h,
   CASE loc_id % 3 WHEN 0 THEN loc_id * 1000.0::DOUBLE + 500 WHEN 1 THEN loc_id * 100.0::DOUBLE END AS goal FROM lw JOIN (SELECT DISTINCT loc_name, loc_id FROM places) USING (loc_name)),
-wide AS (SELECT loc_id AS location_id, loc_name AS location_name_canonical, CASE WHEN platform = 'zenoti' THEN '888-' || loc_id || '-' || loc_name END AS center_name, platform AS pos_system, date_trunc('month', week_ending)::DATE AS period_start, week_ending AS period_end,
+wide AS (SELECT loc_id AS location_id, loc_name AS location_name_canonical, CASE WHEN platform = 'zenoti' THEN '888-' || loc_id || '-' || loc_name END AS tableau_center_name, platform AS pos_system, date_trunc('month', week_ending)::DATE AS period_start, week_ending AS period_end,
   'mtd' AS period_type, 'MTD thru ' || week_ending AS period_label, g AS guest_count, t AS total_sales_net, s AS service_net, p AS product_net, h AS productive_hours, {_DIV("p", "t", 4)} AS product_pct, {_DIV("p", "g", 2)} AS ppg_net, {_DIV("t", "g", 2)} AS avg_ticket,
   {_DIV("t", "h", 2)} AS pph_net, wax_count::DOUBLE AS wax_count, wax::DOUBLE AS wax_net, color::DOUBLE AS color_net, treat_count::DOUBLE AS treatment_count, treat::DOUBLE AS treatment_net, {_DIV("wax_count::DOUBLE", "g", 4)} AS wax_pct, {_DIV("color::DOUBLE", "s", 4)} AS color_pct,
-  {_DIV("treat_count::DOUBLE", "g", 4)} AS treatment_pct, {kpi.rounded_sql("t / 2", 2)} * 25 AS projection, goal AS monthly_goal, {kpi.rounded_sql("goal / 26", 2)} AS daily_goal, sha256(loc_name || '/' || week_ending) AS source_extract_hash, h IS NOT NULL AS data_complete_flag FROM z)"""
+  {_DIV("treat_count::DOUBLE", "g", 4)} AS treatment_pct, {kpi.rounded_sql("t / 2", 2)} * 25 AS projection, goal AS monthly_goal, {kpi.rounded_sql("goal / 26", 2)} AS daily_goal, sha256(loc_name || '/' || week_ending) AS source_extract_hash, strftime(week_ending, '%Y-%m-%dT%H:%M:%S') AS generated_at, h IS NOT NULL AS data_complete_flag FROM z)"""
 _FRACTION = "CASE WHEN abs({x}) <= 1 THEN {x} ELSE {x} / 100 END"
 ORACLE = {
     "location_rows": f"WITH {_ROWS} SELECT * FROM wide",

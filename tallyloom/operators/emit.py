@@ -32,8 +32,9 @@ def replace_tail(array: Column, value: Column) -> Column:
 
 
 def merge_sources(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """left with the columns of right where location and both dates are equal, and whether there was such a row; left's rows stay as they are."""
-    r = right.dropDuplicates(keys).select(*keys, *(F.col(c).alias(f"other_{c}") for c in columns), F.lit(True).alias("_in"))
+    """left with the columns of right where location and both dates are equal, and whether there was such a row; left's rows stay as they are.
+    Of several rows of right with equal keys the least, column by column in order, counts."""
+    r = right.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("_r")).select(*keys, *(F.col(f"_r.{c}").alias(f"other_{c}") for c in columns), F.lit(True).alias("_in"))
     return left.join(r, keys, "left").withColumn("merged", F.coalesce("_in", F.lit(False))).drop("_in")
 
 
@@ -96,7 +97,7 @@ def months_by_list(spark, sf_dir):
 
 def goals_by_month(spark, sf_dir):
     """Goals set several times: of a location's goals for a month the last counts. A goal is the sales of one of the month's weeks, set that day."""
-    g = _weeks(spark, sf_dir).where("year_month = '1997-03'").groupBy("loc_name").agg(F.max_by(F.col("total_sales").cast("double"), WEEK).alias("goal"))
+    g = _weeks(spark, sf_dir).groupBy("loc_name", "year_month").agg(F.max_by(F.col("total_sales").cast("double"), WEEK).alias("goal"))
     ids = facts.places(spark, sf_dir).select("loc_name", F.col("loc_id").cast("long").alias("loc_id")).distinct()
     return ids.join(g, "loc_name", "left")
 
@@ -195,15 +196,23 @@ def recognition_alerts(spark, sf_dir):
     return w.select("loc_name", WEEK, F.inline(rows)).unionByName(brief)
 
 
+def with_prior_year(months: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, year_month, now, prior_year) of months(key, year_month, value): a key is in a month that the table has if it has it or had it the year before."""
+    after = F.date_format(F.add_months(F.to_date("year_month", "yyyy-MM"), 12), "yyyy-MM")
+    now, prior = months.select(key, "year_month", F.col(value).alias("now")), months.select(key, after.alias("year_month"), F.col(value).alias("prior_year"))
+    return now.join(prior, [key, "year_month"], "full").join(months.select("year_month").distinct(), "year_month", "left_semi")
+
+
 def yoy_totals(spark, sf_dir):
-    """A month's roster with goals and the year before, and its totals: the goal share of the totals is of sums, not a mean."""
+    """Every month's locations with goals and the year before, and its totals: the goal share of the totals is of sums, not a mean."""
     m = kpi.with_ratios(facts.location_months(spark, sf_dir)).select("loc_name", "year_month", "total_sales")
-    now, prior = (m.where(F.col("year_month") == ym).select("loc_name", F.col("total_sales").alias(c)) for ym, c in (("1997-03", "now"), ("1996-03", "prior_year")))
-    goals = prior.where("NOT loc_name LIKE '%5'").select("loc_name", (F.col("prior_year") * F.lit("1.10").cast("decimal(4,2)")).cast(facts.MONEY).alias("goal"))
-    t = facts.places(spark, sf_dir).select("loc_name").distinct().join(now, "loc_name", "left").join(goals, "loc_name", "left").join(prior, "loc_name", "left")
-    total = t.agg(F.lit("TOTALS").alias("loc_name"), F.sum("now").alias("now"), F.sum(F.when(F.col("goal").isNotNull(), F.coalesce("now", F.lit(0).cast(facts.MONEY)))).alias("with_goal"), F.sum("goal").alias("goal"), F.sum("prior_year").alias("prior_year"))
-    out = kpi.plain(t.withColumn("with_goal", F.coalesce("now", F.lit(0).cast(facts.MONEY))).select(total.columns).unionByName(total), total.columns)
-    return out.select("loc_name", "now", "goal", "prior_year", kpi.ratio(F.col("with_goal"), F.col("goal"), kpi.NULL).alias("goal_pct"), kpi.ratio(F.col("now") - F.col("prior_year"), F.col("prior_year"), kpi.NULL).alias("yoy_pct"))
+    t = with_prior_year(m, "loc_name", "total_sales")
+    t = t.withColumn("goal", F.when(~F.col("loc_name").like("%5"), (F.col("prior_year") * F.lit("1.10").cast("decimal(4,2)")).cast(facts.MONEY)))
+    zero = F.lit(0).cast(facts.MONEY)
+    total = t.groupBy("year_month").agg(F.lit("TOTALS").alias("loc_name"), F.sum("now").alias("now"), F.sum(F.when(F.col("goal").isNotNull(), F.coalesce("now", zero))).alias("with_goal"), F.sum("goal").alias("goal"), F.sum("prior_year").alias("prior_year"))
+    out = kpi.plain(t.withColumn("with_goal", F.coalesce("now", zero)).select(total.columns).unionByName(total), total.columns)
+    goal_pct, yoy_pct = kpi.ratio(F.col("with_goal"), F.col("goal"), kpi.NULL), kpi.ratio(F.col("now") - F.col("prior_year"), F.col("prior_year"), kpi.NULL)
+    return out.select("loc_name", "year_month", "now", "goal", "prior_year", goal_pct.alias("goal_pct"), yoy_pct.alias("yoy_pct"))
 
 
 def merged_sources(spark, sf_dir):
@@ -266,7 +275,8 @@ ORACLE = {
 SELECT stylist_name, string_agg(CASE WHEN substr(year_month, 6)::INT % 2 = 1 THEN last_day((year_month || '-01')::DATE)::VARCHAR ELSE year_month || '-28' END, ',' ORDER BY year_month) AS weeks,
   {_txt("coalesce(product::DOUBLE / nullif((service + product)::DOUBLE, 0), 0.0) * 100", 2, "year_month")} AS product_pct, {_txt("guests", 0, "year_month")} AS services FROM m GROUP BY 1""",
     "months_by_list": f"WITH {_MK} SELECT loc_name, year_month, guests::BIGINT AS guests, total_sales::DOUBLE AS total_sales FROM mk WHERE year_month IN ('1996-02', '1996-05', '1998-01')",
-    "goals_by_month": f"""WITH {_LK}, g AS (SELECT loc_name, arg_max(total_sales::DOUBLE, week_ending) AS goal FROM lk WHERE year_month = '1997-03' GROUP BY 1) SELECT p.loc_name, p.loc_id, goal FROM (SELECT DISTINCT loc_name, loc_id FROM places) p LEFT JOIN g USING (loc_name)""",
+    "goals_by_month": f"""WITH {_LK}, g AS (SELECT loc_name, year_month, arg_max(total_sales::DOUBLE, week_ending) AS goal FROM lk GROUP BY 1, 2)
+SELECT p.loc_name, p.loc_id, year_month, goal FROM (SELECT DISTINCT loc_name, loc_id FROM places) p LEFT JOIN g USING (loc_name)""",
     "current_scan": f"""WITH {facts.WEEKS_SQL}, k AS (SELECT *, dayofyear(week_ending) % 7 AS k FROM lw) SELECT week_ending, loc_name, CASE WHEN k IN (0, 2) THEN 0 ELSE guests END AS guests, CASE WHEN k = 0 THEN 0.0 ELSE service::DOUBLE END AS service, loc_id
   FROM k JOIN (SELECT DISTINCT loc_name, loc_id FROM places) USING (loc_name) WHERE k <> 1""",
     "dict_scan": f"WITH {facts.LINES_SQL} SELECT s_suppkey, stylist_name AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE loc_name END AS place, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE manager END AS region FROM places",
@@ -292,11 +302,11 @@ SELECT loc_name, week_ending, {kpi.rounded_sql("now - before", 2)} AS delta, {kp
   lag(pph) OVER (PARTITION BY loc_name ORDER BY week_ending) AS before FROM lk)
 SELECT loc_name, week_ending, 'RECOGNITION' AS kind, 'LOW' AS severity FROM r WHERE top = 1 UNION ALL SELECT loc_name, week_ending, 'WATCH', 'HIGH' FROM r WHERE low = 1 AND n > 1
 UNION ALL SELECT loc_name, week_ending, 'PPH_DROP', 'MEDIUM' FROM r WHERE (pph - before) / nullif(abs(before), 0) * 100 <= -5 UNION ALL SELECT DISTINCT 'ALL LOCATIONS', week_ending, 'COACH BRIEFING', 'LOW' FROM r""",
-    "yoy_totals": f"""WITH {_MK}, n AS (SELECT loc_name, total_sales AS now FROM mk WHERE year_month = '1997-03'), p AS (SELECT loc_name, total_sales AS prior_year FROM mk WHERE year_month = '1996-03'),
-g AS (SELECT loc_name, (prior_year * 1.10::DECIMAL(4,2))::DECIMAL(18,2) AS goal FROM p WHERE loc_name NOT LIKE '%5'),
-t AS (SELECT loc_name, now, goal, prior_year, coalesce(now, 0) AS w FROM (SELECT DISTINCT loc_name FROM places) LEFT JOIN n USING (loc_name) LEFT JOIN g USING (loc_name) LEFT JOIN p USING (loc_name)),
-u AS (SELECT * FROM t UNION ALL SELECT 'TOTALS', sum(now), sum(goal), sum(prior_year), sum(w) FILTER (goal IS NOT NULL) FROM t)
-SELECT loc_name, now::DOUBLE AS now, goal::DOUBLE AS goal, prior_year::DOUBLE AS prior_year, w::DOUBLE / nullif(goal::DOUBLE, 0) AS goal_pct, (now::DOUBLE - prior_year::DOUBLE) / nullif(prior_year::DOUBLE, 0) AS yoy_pct FROM u""",
+    "yoy_totals": f"""WITH {_MK}, n AS (SELECT loc_name, year_month, total_sales AS now FROM mk),
+p AS (SELECT loc_name, (left(year_month, 4)::INT + 1) || substr(year_month, 5) AS year_month, total_sales AS prior_year FROM mk),
+t AS (SELECT loc_name, year_month, now, prior_year, CASE WHEN loc_name NOT LIKE '%5' THEN (prior_year * 1.10::DECIMAL(4,2))::DECIMAL(18,2) END AS goal, coalesce(now, 0) AS w FROM n FULL JOIN p USING (loc_name, year_month) WHERE year_month IN (SELECT year_month FROM mk)),
+u AS (SELECT * FROM t UNION ALL SELECT 'TOTALS', year_month, sum(now), sum(prior_year), sum(goal), sum(w) FILTER (goal IS NOT NULL) FROM t GROUP BY 2)
+SELECT loc_name, year_month, now::DOUBLE AS now, goal::DOUBLE AS goal, prior_year::DOUBLE AS prior_year, w::DOUBLE / nullif(goal::DOUBLE, 0) AS goal_pct, (now::DOUBLE - prior_year::DOUBLE) / nullif(prior_year::DOUBLE, 0) AS yoy_pct FROM u""",
     "merged_sources": f"""WITH {facts.WEEKS_SQL}, k AS (SELECT *, weekofyear(week_ending) % 5 > 1 AS hit FROM lw)
 SELECT loc_name, week_ending - 6 AS period_start, week_ending AS period_end, guests, CASE WHEN hit THEN service::DOUBLE END AS other_service, hit AS merged FROM k""",
     "flattened": f"WITH {facts.STYLISTS_SQL} SELECT loc_name, week_ending, stylist_name, guests FROM sw",

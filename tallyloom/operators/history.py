@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import kpi
 from tallyloom.sources import facts
+from tallyloom.sources.work import stored, work_folder
 
 WEEK, WEEKS = "week_ending", 12
 
@@ -71,8 +72,9 @@ def history_last12(spark, sf_dir):
 
 def history_merge_monthly_weekly(spark, sf_dir):
     """The last 12 points of each location: whole months up to the last but one, then weeks of the last two months."""
-    weeks = facts.location_weeks(spark, sf_dir)
-    months = facts.location_months(spark, sf_dir)
+    figures = ["guests", "service", "product"]
+    weeks = stored(facts.location_weeks(spark, sf_dir).select("loc_name", "year_month", WEEK, *figures), work_folder(spark))  # the fact table is read once
+    months = weeks.groupBy("loc_name", "year_month").agg(*(F.sum(c).alias(c) for c in figures))
     edge = weeks.select(F.max("year_month")).scalar()
     recent = F.col("year_month") >= F.date_format(F.add_months(F.to_date(F.concat(edge, F.lit("-01"))), -1), "yyyy-MM")
     w = weeks.where(recent).select("loc_name", F.col(WEEK).alias("point"), "guests", "service", "product")
@@ -82,7 +84,8 @@ def history_merge_monthly_weekly(spark, sf_dir):
 
 def roster_full_outer_merge(spark, sf_dir):
     """Stylists of the last two months."""
-    rows = facts.stylist_weeks(spark, sf_dir)
+    rows = facts.stylist_weeks(spark, sf_dir).groupBy("stylist_name", "loc_name", "year_month").agg(F.sum("guests").alias("guests"))
+    rows = stored(rows, work_folder(spark))
     top = last_periods(rows.select("year_month"), "year_month", 2).agg(F.max("year_month").alias("now"), F.min("year_month").alias("before"))
     of = lambda which: rows.where(F.col("year_month") == top.select(which).scalar()).groupBy("stylist_name", "loc_name").agg(F.sum("guests").alias(which))
     return rosters(of("now"), of("before"), ["stylist_name", "loc_name"])

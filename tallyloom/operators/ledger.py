@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import kpi
 from tallyloom.sources import facts
+from tallyloom.sources.work import stored, work_folder
 
 WEEK = "week_ending"
 
@@ -180,7 +181,7 @@ def proportional_distribution(spark, sf_dir):
 
 def manager_filter(spark, sf_dir):
     """A manager's months beside those a manager without locations sees: all of them."""
-    m = _months(spark, sf_dir)
+    m = stored(_months(spark, sf_dir), work_folder(spark))
     views = [for_manager(m, who).withColumn("viewer", F.lit(who)) for who in ("REGION_1", "ASIA", "nobody")]
     out = views[0].unionByName(views[1]).unionByName(views[2]).groupBy("viewer").agg(F.count("*").alias("n_rows"), F.count_distinct("loc_name").alias("n_locations"), F.sum("guests").alias("guests"))
     return kpi.plain(out, out.columns)

@@ -12,16 +12,18 @@ from tallyloom.functions.kpi import rounded
 from tallyloom.operators.summaries import is_artifact, sales_and_hours
 from tallyloom.operators.summaries import _texts as summary_texts
 from tallyloom.sources import facts
+from tallyloom.sources.reports import reports
 from tallyloom.sources.tables import delimited, json_lines, report_files
+from tallyloom.sources.work import work_folder
 
 KEYS = ["loc_name", "year_month"]
 
 
 def location_lookup(locations: DataFrame) -> DataFrame:
-    """(alias, name, platform, id) of locations(name, platform, id): the lower-case name, and it without a last ` FS`."""
+    """(alias, name, platform, id) of locations(name, platform, id): the lower-case name, and it without a last ` FS`; of several with one alias the least name."""
     name = F.trim("name")
     alias = F.explode(F.array_distinct(F.array(F.lower(name), F.lower(F.regexp_replace(name, r"(?i)\s+FS$", "")))))
-    return locations.where(F.coalesce(name, F.lit("")) != "").select(alias.alias("alias"), name.alias("name"), "platform", "id").dropDuplicates(["alias"])
+    return locations.where(F.coalesce(name, F.lit("")) != "").select(alias.alias("alias"), name.alias("name"), "platform", "id").groupBy("alias").agg(F.min(F.struct("name", "platform", "id")).alias("_l")).select("alias", "_l.*")
 
 
 def current_row(docs: DataFrame) -> DataFrame:
@@ -106,21 +108,29 @@ def monthly_rows(spark, sf_dir):
     return r.select(*KEYS, first.alias("period_start"), F.last_day(first).alias("period_end"), "guests", "total_sales", kpi.ratio(F.col("total_sales"), F.col("guests")).alias("avg_ticket"), kpi.ratio(F.col("product"), F.col("guests")).alias("ppg"), F.lit("monthly_pdf").alias("source"))
 
 
+def staff_patches(spark, sf_dir):
+    """Patches for later columns: each employee's request share and service time, by month, name and place."""
+    return monthly_staff(employee_rows(_docs(spark, sf_dir))).select("year_month", "name", "loc_name", "req_pct", "avg_service_time_min")
+
+
+def patched_rows(spark, sf_dir):
+    """Monthly staff rows without those columns, and every fourth location's not at all, after the patches: rows that are there get them."""
+    from tallyloom.operators.ledger import patch
+
+    m = monthly_staff(employee_rows(_docs(spark, sf_dir)))
+    rows = m.where("NOT loc_name LIKE '%4'").select("year_month", "name", "loc_name", F.lit(None).cast("double").alias("req_pct"), F.lit(None).cast("double").alias("avg_service_time_min"))
+    return patch(rows, staff_patches(spark, sf_dir), ["year_month", "name", "loc_name"], ["req_pct", "avg_service_time_min"])
+
+
 def patches(spark, sf_dir):
     """What later columns need from a document: request shares and times of its employees, and a rebooking share, which is the share of those asked for."""
     s = monthly_staff(employee_rows(_docs(spark, sf_dir)))
     return s.groupBy(*KEYS).agg(F.count("*").alias("n_patches"), F.count_if(F.col("req_pct") > 0).alias("n_requests"), F.max("avg_service_time_min").alias("longest"))
 
 
-def _folder(spark) -> str:
-    from tallyloom.streaming.ingest import _work_folder
-
-    return _work_folder(spark)
-
-
 def json_lines_scan(spark, sf_dir):
     """Objects written one to a line, with broken lines between them, and read back."""
-    path = f"{_folder(spark)}/lines"
+    path = f"{work_folder(spark)}/lines"
     p = facts.places(spark, sf_dir)
     good = p.select(F.to_json(F.struct("s_suppkey", "loc_name")).alias("value"))
     good.unionByName(p.select(F.concat(F.lit("{broken "), "stylist_name").alias("value"))).write.text(path)
@@ -129,18 +139,18 @@ def json_lines_scan(spark, sf_dir):
 
 def delimited_scan(spark, sf_dir):
     """Rows under a header, some too short, some with bad numbers."""
-    path = f"{_folder(spark)}/rows"
+    path = f"{work_folder(spark)}/rows"
     p = facts.places(spark, sf_dir).withColumn("k", F.col("s_suppkey") % 3)
     line = F.when(F.col("k") == 0, F.col("stylist_name")).when(F.col("k") == 1, F.concat_ws(",", "stylist_name", F.lit("n/a"), "loc_name")).otherwise(F.concat_ws(",", "stylist_name", "s_suppkey", "loc_name"))
-    rows = p.agg(F.collect_list(line).alias("x")).select(F.explode(F.concat(F.array(F.lit("name,number,place")), "x")).alias("value"))
-    rows.coalesce(1).write.text(path)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)) == 0  # of a partition, which is a file
+    p.select(F.when(first, F.concat(F.lit("name,number,place\n"), line)).otherwise(line).alias("value")).write.text(path)
     return delimited(spark, path, "name string, number bigint, place string")
 
 
 def _report_folder(spark, sf_dir) -> str:
-    """Texts as files of .../<bucket>/<month's first day>/<location>.txt, one a location and month of 1997."""
-    path = f"{_folder(spark)}/reports"
-    t = summary_texts(spark, sf_dir).where("year_month LIKE '1997%'")
+    """Texts as files of .../<bucket>/<month's first day>/<location>.txt, one a location and month."""
+    path = f"{work_folder(spark)}/reports"
+    t = summary_texts(spark, sf_dir)
     t.select(F.lit("in").alias("bucket"), F.concat("year_month", F.lit("-01")).alias("week"), F.col("loc_name").alias("place"), F.col("text").alias("value")).repartition("week", "place").write.partitionBy("bucket", "week", "place").text(path, lineSep="\x01")
     return path
 
@@ -153,6 +163,15 @@ def report_file_rows(spark, sf_dir):
     return files.select(part("place").alias("loc_name"), F.substring(part("week"), 1, 7).alias("year_month"), F.sha2(text.cast("binary"), 256).alias("sha256"), parsing.figures(text, "Service Net").cast("double").alias("service"))
 
 
+def report_source(spark, sf_dir):
+    """The same by the data source, month by month of the path: what a filter on the week leaves is all that is opened."""
+    files = reports(spark, _report_folder(spark, sf_dir))
+    text = F.regexp_replace("text", "\x01$", "")
+    rows = files.select(F.col("location").alias("loc_name"), F.date_format("week_ending", "yyyy-MM").alias("year_month"), "week_ending", F.sha2(text.cast("binary"), 256).alias("sha256"), parsing.figures(text, "Service Net").cast("double").alias("service"))
+    early, late = (rows.where(f"week_ending {op} DATE '1995-01-01'").drop("week_ending") for op in ("<", ">="))
+    return early.unionByName(late)
+
+
 def report_batch(spark, sf_dir):
     """A folder of monthly reports read, its people and locations made into rows, by outcome: what a batch run says in the end."""
     files = report_files(spark, _report_folder(spark, sf_dir), ("txt",))
@@ -174,7 +193,7 @@ def message_urgency(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (location_aliases, bare_file_names, current_rows, stylist_rows, monthly_staff_rows, monthly_rows, patches, json_lines_scan, delimited_scan, report_file_rows, report_batch, message_urgency)
+    for f in (location_aliases, bare_file_names, current_rows, stylist_rows, monthly_staff_rows, monthly_rows, staff_patches, patched_rows, patches, json_lines_scan, delimited_scan, report_file_rows, report_source, report_batch, message_urgency)
 }
 
 _ST = f"""{facts.LINES_SQL},
@@ -201,7 +220,7 @@ def _file_sql() -> str:
     money = lambda c: f"format('{{:t,.2f}}', ({c})::DOUBLE)".replace("t,", ",")
     return f"""WITH {staff}, k AS (SELECT loc_name, year_month, loc_id, string_agg(CASE WHEN sold THEN name || chr(10) || {money("service")} || ' (12.5%) ' || {money("tips")} || ' ' || guests || chr(10) || guests || ' 0.00 -1.00 ' || {money("product")} ELSE '' END, chr(10) ORDER BY stylist_name) AS sale,
   string_agg(CASE WHEN timed THEN replace(name, ' ', chr(10)) || chr(10) || '1' || chr(10) || '2' || chr(10) || '3' || chr(10) || {money("hours")} || chr(10) || '5' ELSE '' END, chr(10) ORDER BY stylist_name) AS perf,
-  coalesce(sum(service) FILTER (sold), 0) + CASE WHEN year_month LIKE '%-03' THEN 5 ELSE 0 END AS s, coalesce(sum(product) FILTER (sold), 0) AS p, coalesce(sum(tips) FILTER (sold), 0) AS t, coalesce(sum(hours) FILTER (timed), 0) AS h FROM sn WHERE year_month LIKE '1997%' GROUP BY 1, 2, 3)
+  coalesce(sum(service) FILTER (sold), 0) + CASE WHEN year_month LIKE '%-03' THEN 5 ELSE 0 END AS s, coalesce(sum(product) FILTER (sold), 0) AS p, coalesce(sum(tips) FILTER (sold), 0) AS t, coalesce(sum(hours) FILTER (timed), 0) AS h FROM sn GROUP BY 1, 2, 3)
 SELECT loc_name, year_month, sha256('Center 888-' || (loc_id + 100) || '-' || loc_name || chr(10) || 'Service Net: ' || {money("s")} || chr(10) || 'Product Net: ' || {money("p")} || chr(10) || 'TIPS COLLECTED AMOUNT' || chr(10) || 'Cash 1.00' || chr(10) || 'Total ' || {money("t")} || chr(10)
   || 'EMPLOYEE SALE DETAILS' || chr(10) || sale || chr(10) || 'STYLIST' || chr(10) || '9 9 9 9 9 9 9 9' || chr(10) || 'EMPLOYEE PERFORMANCE' || chr(10) || perf || chr(10) || 'Total 1 2 3 ' || {money("h")}) AS sha256, s::DOUBLE AS service FROM k"""
 
@@ -217,6 +236,10 @@ ORACLE = {
     "json_lines_scan": "SELECT s_suppkey, n_name AS loc_name FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "delimited_scan": "SELECT s_name AS name, CASE WHEN s_suppkey % 3 = 2 THEN s_suppkey END AS number, CASE WHEN s_suppkey % 3 > 0 THEN n_name END AS place FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "report_file_rows": _file_sql(),
-    "report_batch": f"SELECT year_month, count(DISTINCT loc_name) AS n_locations, count(*) AS n_people, count(flag) AS n_flags, sum(service::DECIMAL(18,2))::DOUBLE AS service FROM ({_summary()}) WHERE year_month LIKE '1997%' GROUP BY 1",
+    "report_batch": f"SELECT year_month, count(DISTINCT loc_name) AS n_locations, count(*) AS n_people, count(flag) AS n_flags, sum(service::DECIMAL(18,2))::DOUBLE AS service FROM ({_summary()}) GROUP BY 1",
     "message_urgency": "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS urgency FROM orders",
 }
+ORACLE["report_source"] = ORACLE["report_file_rows"]
+_PATCH = "SELECT year_month, name, loc_name, req_pct, avg_service_time_min"
+ORACLE["staff_patches"] = f"{_PATCH} FROM ({ORACLE['monthly_staff_rows']})"
+ORACLE["patched_rows"] = f"{_PATCH} FROM ({ORACLE['monthly_staff_rows']}) WHERE loc_name NOT LIKE '%4'"

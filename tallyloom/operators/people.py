@@ -155,8 +155,13 @@ def transfer_pairs(spark, sf_dir):
 
 def career_paths(spark, sf_dir):
     """Whole paths of at least two locations, and how many people took each."""
-    p = paths(facts.visits(spark, sf_dir)).where("path LIKE '% > %'")
-    return p.groupBy("path").agg(F.count("*").alias("n_people"))
+    return shared_paths(facts.visits(spark, sf_dir), 1)
+
+
+def shared_paths(visits: DataFrame, people: int = 3, places: int = 2) -> DataFrame:
+    """(path, n_people): whole paths of at least `places` stays that at least `people` took."""
+    p = paths(visits).where(F.size(F.split("path", " > ")) >= places)
+    return p.groupBy("path").agg(F.count("*").alias("n_people")).where(F.col("n_people") >= people)
 
 
 def paths(visits: DataFrame) -> DataFrame:
@@ -167,8 +172,8 @@ def paths(visits: DataFrame) -> DataFrame:
 
 
 def career_paths_whole(spark, sf_dir):
-    """Whole paths that at least two people share."""
-    return paths(facts.visits(spark, sf_dir)).groupBy("path").agg(F.count("*").alias("n_people")).where("n_people >= 2")
+    """Whole paths, those of one location too, that at least two people share."""
+    return shared_paths(facts.visits(spark, sf_dir), 2, 1)
 
 
 def location_effect_score(spark, sf_dir):

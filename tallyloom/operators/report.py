@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import calendar, kpi
 from tallyloom.operators.cumulative import month_to_date, week_in_month
 from tallyloom.sources import facts
+from tallyloom.sources.work import stored, work_folder
 from tallyloom.sources.facts import ADDITIVE
 
 WEEK = "week_ending"
@@ -31,6 +32,7 @@ def with_totals(df: DataFrame, within: list[str], label: str, sums: list[str], r
 def report_week_kpi_block(spark, sf_dir):
     """Each week's block: every location of the roster, blank where it has no snapshot that week, with the projection of its month."""
     snaps = calendar.projected(_latest(spark, sf_dir), "total_sales", spark.createDataFrame(list(OVERRIDES), "year_month string, days long"))
+    snaps = stored(snaps, work_folder(spark))
     weeks = snaps.agg(F.collect_set(F.struct("year_month", WEEK, "week_idx"))).scalar()  # one a calendar week, however many locations there are
     places = snaps.select("loc_name").distinct().select("loc_name", F.inline(weeks))
     out = places.join(snaps.drop("week_idx"), ["loc_name", "year_month", WEEK], "left").withColumn("present", F.col("guests").isNotNull())

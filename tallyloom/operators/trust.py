@@ -16,6 +16,8 @@ from tallyloom.sources import facts
 from tallyloom.sources.facts import ADDITIVE
 
 WEEK, KEYS = "week_ending", ["loc_name", "week_ending"]
+#: Average of the weeks before from which a category at zero is called lost.
+LOST = 5.0
 
 
 def check(name: str, *cases: tuple[Column, str, int]) -> Column:
@@ -104,13 +106,13 @@ def anomaly_wow(spark, sf_dir):
 
 
 def zero_vs_baseline(spark, sf_dir):
-    """A category at zero whose average over the four weeks before is at least MIN: likely lost, not sold out."""
+    """A category at zero whose average over the four weeks before is at least LOST: likely lost, not sold out."""
     w = Window.partitionBy("loc_name").orderBy(WEEK).rowsBetween(-4, -1)
     rows = facts.location_weeks(spark, sf_dir).withColumn("n_before", F.count("*").over(w))
     for c in ("wax_count", "treat_count"):
         rows = rows.withColumn(f"base_{c}", kpi.ratio(F.sum(c).over(w), F.col("n_before")))
     out = rows.select(*KEYS, "n_before", F.inline(F.array(*(F.struct(F.lit(c).alias("category"), F.col(c).cast("long").alias("current"), F.col(f"base_{c}").alias("baseline")) for c in ("wax_count", "treat_count")))))
-    return out.where("n_before > 0 AND current = 0 AND baseline >= 2.0")
+    return out.where(f"n_before > 0 AND current = 0 AND baseline >= {LOST}")
 
 
 #: metric, least, most; anything outside is a warning.
@@ -220,7 +222,7 @@ UNION ALL SELECT loc_name, week_ending, 'treat_pct_mix', CASE WHEN abs(treat_pct
 SELECT loc_name, week_ending, name, 'warn' AS status, severity::BIGINT AS severity FROM a WHERE severity IS NOT NULL""",
     "zero_vs_baseline": f"""WITH {facts.WEEKS_SQL}, b AS (SELECT loc_name, week_ending, unnest(['wax_count', 'treat_count']) AS category, unnest([wax_count, treat_count]) AS current, unnest([sum(wax_count) OVER p, sum(treat_count) OVER p]) AS total, count(*) OVER p AS n_before
 FROM lw WINDOW p AS (PARTITION BY loc_name ORDER BY week_ending ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING))
-SELECT loc_name, week_ending, n_before, category, current::BIGINT AS current, total::DOUBLE / n_before AS baseline FROM b WHERE n_before > 0 AND current = 0 AND total::DOUBLE / n_before >= 2""",
+SELECT loc_name, week_ending, n_before, category, current::BIGINT AS current, total::DOUBLE / n_before AS baseline FROM b WHERE n_before > 0 AND current = 0 AND total::DOUBLE / n_before >= {LOST}::DOUBLE""",
     "drift_thresholds": f"""WITH {_W}, m AS (SELECT loc_name, week_ending, unnest({[m for m, _, _ in DRIFT]}) AS metric, unnest([total_sales::DOUBLE, guests::DOUBLE, product_pct, pph]) AS value, unnest({[x for _, x, _ in DRIFT]}::DOUBLE[]) AS lo, unnest({[x for _, _, x in DRIFT]}::DOUBLE[]) AS hi FROM w)
 SELECT loc_name, week_ending, metric, value, CASE WHEN value < 0 OR (metric = 'guests' AND value = 0) OR (metric = 'product_pct' AND value > 1) THEN 'abort' WHEN value < lo THEN 'below' ELSE 'above' END AS finding FROM m
 WHERE value < 0 OR (metric = 'guests' AND value = 0) OR (metric = 'product_pct' AND value > 1) OR value < lo OR value > hi""",

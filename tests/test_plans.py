@@ -20,6 +20,12 @@ def test_no_cartesian_products(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["roster_full_outer_merge", "manager_filter", "history_merge_monthly_weekly", "report_week_kpi_block", "transfer_audit_trail", "transfer_corrections"])
+def test_the_fact_table_is_read_before(spark, name):
+    """What several legs need is stored, so their plan has no scan of the lines left."""
+    assert "l_shipdate" not in plan(QUERIES[name](spark, FOLDER)) and "l_orderkey" not in plan(QUERIES[name](spark, FOLDER))
+
+
 def test_columns_are_pruned_at_the_scan(spark):
     text = plan(QUERIES["months_by_list"](spark, FOLDER))
     assert "l_tax" not in text and "l_shipdate" in text
