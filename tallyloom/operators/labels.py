@@ -167,10 +167,10 @@ def _reports(spark, sf_dir) -> DataFrame:
     z = F.concat_ws(
         "\n", F.concat_ws(" ", F.lit("Service sales"), n, _money(s + 1), _money(s), F.lit("(61.5)")), F.concat_ws(" ", F.lit("Product sales"), n, _money(p + 1), _money(p), F.lit("(38.5)")),
         F.concat_ws(" ", F.lit("Item total"), n, _money(s + p + 2), _money(s + p), F.lit("(100)")), F.concat(F.lit("Sales(Inc. Tax) "), _money(s + p + 5)), F.lit("Tax 5.00\nGift wrap 3"),
-        F.concat(F.lit("Total invoices with services or product "), n), F.lit("TIPS COLLECTED AMOUNT\nCash 1.00"), F.concat(F.lit("Total "), _money(p / 2)), F.lit("EMPLOYEE SALE DETAILS\nTotal 9.00"),
+        F.concat(F.lit("Total invoices with services or product "), n), F.lit("TIPS COLLECTED AMOUNT\nCash 1.00"), F.concat(F.lit("Total "), _money(p + 7)), F.lit("EMPLOYEE SALE DETAILS\nTotal 9.00"),
     )
     u = F.concat_ws(
-        "\n", F.concat(F.lit("Total Service: $"), _money(s)), F.concat(F.lit("Total  Retail $"), _money(p)), F.concat(F.lit("TOTAL REVENUE $"), _money(s + p)), F.concat(F.lit("Avg Tips $1.00 Tips $"), _money(p / 2)),
+        "\n", F.concat(F.lit("Total Service: $"), _money(s)), F.concat(F.lit("Total  Retail $"), _money(p)), F.concat(F.lit("TOTAL REVENUE $"), _money(s + p)), F.concat(F.lit("Avg Tips $1.00 Tips $"), _money(p + 7)),
         F.concat(F.lit("Serviced Guests "), n), F.lit("Hat sales 4\nRebook % 12.5 %\nMale New Request 3\nNew Request 4"), F.concat(F.lit("Non-Production Hours 3h 30m\nProduction Hours "), F.floor("hours").cast("string"), F.lit("h\nCards 2\n"), (F.col("guests") % 60).cast("string"), F.lit("m")),
     )
     return g.select("loc_name", "year_month", "platform", F.when(F.col("platform") == "zenoti", z).otherwise(u).alias("text"))
@@ -196,11 +196,11 @@ def _sql() -> str:
 
     row = lambda field, label, value: f"{{'field': {field}, 'label': '{label}', 'value': ({value})::DOUBLE}}"
     f = lambda name, label, value: row(f"'{name}'", label, value)
-    half = "round(p / 2, 2)"
+    tips = "p + 7"
     z = [f("service_count", "service sales", "n"), f("service_gross", "service sales", "s + 1"), f("service_net", "service sales", "s"), f("product_count", "product sales", "n"), f("product_gross", "product sales", "p + 1"), f("product_net", "product sales", "p"),
          f("item_total_count", "item total", "n"), f("item_total_gross", "item total", "s + p + 2"), f("item_total_net", "item total", "s + p"), f("sales_inc_tax", "sales(inc. tax)", "s + p + 5"), f("tax", "tax", "5"), row("NULL", "gift wrap", "3"),
-         f("invoice_count", "total invoices with services or product", "n"), row("NULL", "cash", "1"), f("tips_total", "total", half), row("NULL", "details total", "9")]
-    u = [f("total_service", "total service", "s"), f("total_retail", "total retail", "p"), f("total_revenue", "total revenue", "s + p"), f("tips", "tips", half), f("serviced_guests", "serviced guests", "n"), row("NULL", "hat sales", "4"), f("rebook_pct", "rebook %", "12.5"),
+         f("invoice_count", "total invoices with services or product", "n"), row("NULL", "cash", "1"), f("tips_total", "total", tips), row("NULL", "details total", "9")]
+    u = [f("total_service", "total service", "s"), f("total_retail", "total retail", "p"), f("total_revenue", "total revenue", "s + p"), f("tips", "tips", tips), f("serviced_guests", "serviced guests", "n"), row("NULL", "hat sales", "4"), f("rebook_pct", "rebook %", "12.5"),
          f("new_request", "new request", "4"), f("non_production_hours", "non-production hours", "3.5"), f("production_hours", "production hours", "floor(h) + (n % 60)::DOUBLE / 60"), row("NULL", "cards", "2")]
     z.remove(row("NULL", "details total", "9"))
     z.append(row("NULL", "total", "9"))
