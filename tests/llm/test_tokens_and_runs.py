@@ -51,8 +51,23 @@ TEXT = st.text(max_size=40) | st.text(alphabet="ab'sT  \n\t\r▁.,1é漢 \x1c
 def test_pieces_add_up_to_the_library_s_count(library, text):
     text = text.encode("utf-8", "ignore").decode()
     m = tokens.model(tokens.default_vocabulary())
-    parts = [p for w in m.words(text) for p in m.parts(w)] if text else []
-    assert sum(m.count(parts)) == len(library[1].encode(text))
+    if text:
+        parts = [p for pieces, _ in m.blocks([(0, text)]) for p in pieces.to_pylist()]
+        assert "".join(parts) == f" {text}".replace("▁", " ") and sum(m.count(parts)) == len(library[1].encode(text))
+
+
+@pytest.mark.parametrize("block", [1, 7, 50])
+def test_long_texts_are_cut_in_blocks(monkeypatch, block):
+    """Pieces and their texts are the same, wherever blocks end."""
+    m = tokens.model(tokens.default_vocabulary())
+    texts = ["", "a", "word  and words, 12 漢字é\n" * 9, "x" * 200, " ", "é" * 30 + "1"]
+
+    def cut():  # a long text comes before shorter ones that wait
+        return sorted(((o, p) for pieces, of in m.blocks(enumerate(texts)) for o, p in zip(of.tolist(), pieces.to_pylist())), key=lambda x: x[0])
+
+    whole = cut()
+    monkeypatch.setattr(tokens, "BLOCK", block)
+    assert cut() == whole
 
 
 def test_token_counts(spark, docs, library, monkeypatch):
@@ -151,7 +166,7 @@ def test_segments_have_the_text_s_tokens(library, text):
         assert [i for p in parts for i in al.a.encode(p, add_special_tokens=False).ids] == library[0].encode(f" {text}", add_special_tokens=False).ids
         if "▁" not in text:  # such a text has no tokens here
             assert [i for p in parts for i in al.b.encode(f"\n{p}")[al.before :]] == library[1].encode(text)
-        assert all(x[0] is not None for x in found) == (plain_tokens(library, text) is not None)
+        assert all(found) == (plain_tokens(library, text) is not None)
 
 
 NEW = "n_a n_b n_groups n_links n_best count_sum groups_sha256".split()
@@ -162,9 +177,9 @@ def test_alignment(spark, docs, library, monkeypatch):
     rows, texts = docs
     want = sorted(plain_alignment(library, texts))
     assert sum(w[0] > 0 for w in want) > 20 and (0, 0, 0, 0, 0, 0, "") in want
-    for most, gathered in ((segments.OFTEN, segments.GATHERED), (3, 50)):
+    for most, gathered in ((segments.OFTEN, align.GATHERED), (3, 50)):
         monkeypatch.setattr(segments.often, "__defaults__", (most,))
-        monkeypatch.setattr(segments, "GATHERED", gathered)
+        monkeypatch.setattr(align, "GATHERED", gathered)
         got = align.align_tokens(rows.withColumn("n_best", F.lit("clash")))
         assert got.columns == ["doc_id", "lang", "n_tokens", *NEW]
         assert sorted(tuple(r[c] for c in NEW) for r in got.collect()) == want
