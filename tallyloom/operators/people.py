@@ -25,29 +25,63 @@ def similarity(new: pd.Series, known: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a is not None and b is not None else None for a, b in zip(new, known)])
 
 
+similarity = similarity.asNondeterministic()  # else a filter on the ratio computes it once more
+
+#: Letters of two names together from which on they are compared by groups of three.
+LONG = 15
+
+
+def _grams(names: DataFrame, block: str, name: str, longest: int) -> DataFrame:
+    """(block, name, _gram, _n): how often a name holds each group of two letters in a row (if it may meet a short name), and of three (if a long one)."""
+    c = F.col(name)
+    of = lambda k: F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(1), F.length(c) - (k - 1)), lambda i: F.substring(c, i, F.lit(k))))
+    two = F.when(F.length(c) < 2, F.array(c)).when(F.length(c) <= longest, of(2))
+    every = F.flatten(F.array_compact(F.array(two, of(3))))
+    return names.select(block, name).distinct().where(F.length(c) > 0).select(block, name, F.explode(every).alias("_gram")).groupBy(block, name, "_gram").agg(F.count("*").alias("_n"))
+
+
 def similar_pairs(new: DataFrame, known: DataFrame, block: str, least: float = MATCH) -> DataFrame:
     """(block, name, known_name, ratio) of the pairs of distinct names within a block whose ratio is at least `least`, which must be 0.85 or more.
 
-    Only pairs that share two letters in a row are compared: of names of n letters at most 0.3 n of both are unmatched, so there are at
-    most 0.3 n + 1 matched runs of 0.85 n letters together, and one of them is longer than a letter; names of one letter match equal ones
-    only. Names too unequal in length are left out before they are compared, too.
+    Of names of s letters together at most d = (1 - least) s are unmatched, so the (s - d) / 2 matched ones stand in at most d + 1 runs, and a
+    run of l letters holds l - 2 groups of three. Only pairs that share as many groups as follow from that are compared; of fewer than LONG
+    letters together groups of two are counted instead, for there need be none of three. Names of one letter match equal ones only.
     """
-    grams = lambda c: F.explode(F.array_distinct(F.when(F.length(c) < 2, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(F.col(c), i, F.lit(2))))))
-    a = new.select(block, "name").distinct().where("name <> ''").select(block, "name", grams("name").alias("_gram"))
-    b = known.select(block, "known_name").distinct().where("known_name <> ''").select(block, "known_name", grams("known_name").alias("_gram"))
+    longest = int(LONG * least / (2 * least - 1)) + 1  # beyond it no partner is short enough
+    a, b = _grams(new, block, "name", longest), _grams(known, block, "known_name", longest).withColumnRenamed("_n", "_m")
     n, m = F.length("name"), F.length("known_name")
-    pairs = a.join(b, [block, "_gram"]).where(F.least(n, m) * 2 >= (n + m) * least).select(block, "name", "known_name").distinct()
+    long = n + m >= LONG
+    pairs = a.join(b, [block, "_gram"]).where((F.least(n, m) * 2 >= (n + m) * least) & (long == (F.length("_gram") == 3)))
+    shared = pairs.groupBy(block, "name", "known_name").agg(F.sum(F.least("_n", "_m")).alias("_shared"))
+    d = F.floor((n + m) * (1 - least) + 1e-9)
+    pairs = shared.where(F.col("_shared") >= (n + m - d) / 2 - (d + 1) * F.when(long, 2).otherwise(1)).drop("_shared")
     return pairs.withColumn("ratio", similarity(F.col("name"), F.col("known_name"))).where(F.col("ratio") >= least)
 
 
+def one_letter_apart(new: DataFrame, known: DataFrame, block: str) -> DataFrame:
+    """(block, name, known_name) of the pairs of which one is the other without one of its letters."""
+    less = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
+    a, b = new.select(block, "name").distinct().where("length(name) > 1"), known.select(block, "known_name").distinct().where("length(known_name) > 1")
+    shorter = a.select(block, "name", less("name").alias("known_name")).join(b, [block, "known_name"])
+    longer = b.select(block, "known_name", less("known_name").alias("name")).join(a, [block, "name"])
+    return shorter.select(block, "name", "known_name").unionByName(longer.select(block, "name", "known_name"))
+
+
 def best_match(new: DataFrame, known: DataFrame, block: str, least: float = MATCH) -> DataFrame:
-    """new(block, name) with the most similar known name of its block and the ratio, where that is at least `least`; equal names need no comparing."""
+    """new(block, name) with the most similar known name of its block and the ratio, where that is at least `least`; equal names need no comparing.
+
+    Names that are one letter longer or shorter are looked up. With two letters unmatched no ratio to a name of n letters is above
+    n / (n + 1), so a name for which one letter gave more is settled, and only others are compared with all that may be similar.
+    """
     names = known.select(F.col(block).alias("_block"), F.col("name").alias("known_name")).distinct()
     exact = new.join(names, (F.col(block) == F.col("_block")) & (F.col("name") == F.col("known_name")), "left").drop("_block")
-    rest = exact.where("known_name IS NULL").drop("known_name")
-    rest = rest.join(similar_pairs(rest, names.withColumnRenamed("_block", block), block, least), [block, "name"])
-    found = rest.groupBy(*new.columns).agg(F.max_by(F.struct("known_name", "ratio"), F.struct("ratio", "known_name")).alias("m")).select(*new.columns, "m.*")
-    return exact.where("known_name IS NOT NULL").select(*new.columns, "known_name", F.lit(1.0).alias("ratio")).unionByName(found)
+    rest, names = exact.where("known_name IS NULL").drop("known_name"), names.withColumnRenamed("_block", block)
+    best = lambda pairs: pairs.groupBy(block, "name").agg(F.max_by(F.struct("known_name", "ratio"), F.struct("ratio", "known_name")).alias("m")).select(block, "name", "m.*")
+    near = best(one_letter_apart(rest, names, block).withColumn("ratio", similarity(F.col("name"), F.col("known_name"))))
+    near = near.where((F.col("ratio") >= least) & (F.col("ratio") > F.length("name") / (F.length("name") + 1) + 1e-12))
+    far = best(similar_pairs(rest.join(near, [block, "name"], "left_anti"), names, block, least))
+    found = rest.join(near.unionByName(far), [block, "name"])
+    return exact.where("known_name IS NOT NULL").select(*new.columns, "known_name", F.lit(1.0).alias("ratio")).unionByName(found.select(*new.columns, "known_name", "ratio"))
 
 
 def moves(visits: DataFrame) -> DataFrame:
