@@ -49,8 +49,9 @@ def due(files: DataFrame, manifest: DataFrame, max_tries: int) -> DataFrame:
     return rows.select(*files.columns, "why", F.when(F.col("state").isin("failed") & (F.col("why") == "again"), F.col("tries")).otherwise(0).alias("tries"))
 
 
-def run(spark: SparkSession, folder: str, state: str, sink: str, parse: Callable[[DataFrame], DataFrame], max_tries: int = 3) -> dict:
-    """One run over the files below folder; returns what it says in the run log.
+def run(spark: SparkSession, folder: str, state: str, sink: str, parse: Callable[[DataFrame], DataFrame], max_tries: int = 3, log_idle: bool = False) -> dict:
+    """One run over the files below folder; returns what it says in the run log. A run that finds nothing to do is not in the log and has
+    the number of the one before, or with log_idle is a run like others.
 
     parse takes (path, text, content_sha256) and returns (path, error, row), any number of rows a file: error is null where the file is
     good, else says what is wrong with it, and its rows are not written. A file without rows is good. Of files with equal contents the
@@ -75,9 +76,9 @@ def run(spark: SparkSession, folder: str, state: str, sink: str, parse: Callable
         good.where("row IS NOT NULL").select("path", "content_sha256", "row.*").write.mode(mode).parquet(f"{sink}/run={number}")
         results.append(own.join(bad, "path", "left"))
         held = held.unionByName(results[-1].where("NOT copy AND error IS NULL").select("path", "content_sha256"))
-    if not results:
+    if not results and not log_idle:
         return {"run": base, "new": 0, "changed": 0, "again": 0, "done": 0, "failed": 0, "given_up": 0, "copy": 0}
-    out = results[0]
+    out = results[0] if results else spark.createDataFrame([], "path string, content_sha256 string, copy boolean, error string")
     for r in results[1:]:
         out = out.unionByName(r)
     failed = F.col("error").isNotNull()
@@ -125,7 +126,7 @@ def _three_runs(spark, sf_dir) -> tuple[str, str]:
         one = rows.repartition("year", "loc_id").sortWithinPartitions("year", "loc_id", "value")
         one.write.mode("append").partitionBy("year", "loc_id").text(f"{work}/in/{folder}")
 
-    runs = lambda: run(spark, f"{work}/in", f"{work}/state", f"{work}/sink", _parsed)
+    runs = lambda: run(spark, f"{work}/in", f"{work}/state", f"{work}/sink", _parsed, log_idle=True)
     put(m.where("year <= 1994").select("year", "loc_id", line.alias("value")), "a")
     runs()
     put(m.where("year > 1994").select("year", "loc_id", good.alias("value")), "b")
