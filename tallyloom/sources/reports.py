@@ -125,7 +125,11 @@ class StreamReader(DataSourceStreamReader):
 
 
 def reports(spark: SparkSession, folder: str) -> DataFrame:
-    """The files below folder, with filters pushed down to their names."""
+    """The files below folder, with filters pushed down to their names.
+
+    Spark keeps the filters that were pushed last for all scans of one loaded source, so a query that filters it in two ways, as the two
+    sides of a union or join do, must call this once for each.
+    """
     spark.dataSource.register(ReportFolder)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("report_folder").load(folder)
