@@ -1,4 +1,7 @@
-"""Sheets as cells (sheet keys, r, c, v): header rows found by name, tables read under them, fixed blocks, and the rows made of them."""
+"""Sheets as cells (sheet keys, r, c, v): header rows found by name, tables read under them, fixed blocks, and the rows made of them.
+
+Cells compress to a small part of what they take in memory, so by the size of their files Spark would broadcast them whole: joins of cells are merge joins.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import kpi, parsing
 from tallyloom.operators.summaries import CENT, STAFF, is_artifact
 from tallyloom.sources import facts
+from tallyloom.sources.work import stored, work_folder
 
 MONEY = facts.MONEY
 # Labels of the dashboard's first column and the fields beside them, and the names of categories in each bucket.
@@ -23,7 +27,7 @@ def header_map(cells: DataFrame, keys: list[str], names: dict[str, str], first:
     label = parsing.header(F.col("v"))
     if row is None:
         at = cells.where((F.col("c") == 0) & (label == first)).groupBy(*keys).agg(F.min("r").alias("header_row"))
-        heads = cells.join(at, keys).where("r = header_row")
+        heads = cells.join(at.hint("merge"), keys).where("r = header_row")
     else:
         heads = cells.where(F.col("r") == row).withColumn("header_row", F.col("r"))
     known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
@@ -32,7 +36,7 @@ def header_map(cells: DataFrame, keys: list[str], names: dict[str, str], first:
 
 def read_table(cells: DataFrame, keys: list[str], header: DataFrame, fields: list[str], stop: str) -> DataFrame:
     """(keys, r, fields, is_total) of the rows under the header whose first field isn't blank, up to the first that begins with `stop`, the total."""
-    rows = cells.join(header, [*keys, "c"]).where("r > header_row").groupBy(*keys, "r").agg(*(F.max(F.when(F.col("field") == f, F.trim("v"))).alias(f) for f in fields))
+    rows = cells.join(header.hint("merge"), [*keys, "c"]).where("r > header_row").groupBy(*keys, "r").agg(*(F.max(F.when(F.col("field") == f, F.trim("v"))).alias(f) for f in fields))
     rows = rows.where(F.coalesce(F.col(fields[0]), F.lit("")) != "").withColumn("is_total", F.lower(fields[0]).startswith(stop))
     first = F.min(F.when(F.col("is_total"), F.col("r"))).over(Window.partitionBy(*keys))
     return rows.withColumn("_t", first).where("_t IS NULL OR r <= _t").drop("_t")
@@ -51,14 +55,14 @@ def stitched(cells: DataFrame, keys: list[str], names: dict[str, str], first: st
     full = cells.where(F.trim("v") != "")
     edge = full.groupBy(*keys, "page").agg(F.min("c").alias("left"))
     known = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
-    at = full.join(edge, [*keys, "page"]).where((F.col("c") == F.col("left")) & (label == first)).groupBy(*keys, "page").agg(F.min("r").alias("header_row"))
-    heads = full.join(at, [*keys, "page"]).where("r = header_row").withColumn("field", F.try_element_at(known, label)).where("field IS NOT NULL")
+    at = full.join(edge.hint("merge"), [*keys, "page"]).where((F.col("c") == F.col("left")) & (label == first)).groupBy(*keys, "page").agg(F.min("r").alias("header_row"))
+    heads = full.join(at.hint("merge"), [*keys, "page"]).where("r = header_row").withColumn("field", F.try_element_at(known, label)).where("field IS NOT NULL")
     heads = heads.groupBy(*keys, "page", "header_row", "field").agg(F.min("c").alias("c"))
     heads = heads.groupBy(*keys, "page", "header_row").agg(F.map_from_entries(F.collect_list(F.struct("c", "field"))).alias("fields"))
     w = Window.partitionBy(*keys).orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pages = edge.join(heads, [*keys, "page"], "left").withColumn("_left", F.when(F.col("fields").isNotNull(), F.col("left")))
+    pages = edge.join(heads.hint("merge"), [*keys, "page"], "left").withColumn("_left", F.when(F.col("fields").isNotNull(), F.col("left")))
     pages = pages.withColumns({"fields": F.last("fields", True).over(w), "shift": F.col("left") - F.last("_left", True).over(w)}).where("fields IS NOT NULL")
-    rows = full.join(pages, [*keys, "page"]).where("header_row IS NULL OR r > header_row")
+    rows = full.join(pages.hint("merge"), [*keys, "page"]).where("header_row IS NULL OR r > header_row")
     fields = list(dict.fromkeys(names.values()))
     column = F.create_map(*(F.lit(x) for i, f in enumerate(fields) for x in (f, i)))
     rows = rows.withColumn("c", F.try_element_at(column, F.try_element_at("fields", F.col("c") - F.col("shift")))).where("c IS NOT NULL")
@@ -163,11 +167,13 @@ def _text(c) -> Column:
 
 def _provider_cells(spark, sf_dir) -> DataFrame:
     """Columns change places in even months; every sheet has an artifact with money, an idle row, a total (off in every March) and a remark under it."""
-    s = _staff(spark, sf_dir).withColumn("r", F.row_number().over(Window.partitionBy(*SHEET).orderBy("stylist_name")) + 2)
+    work = work_folder(spark, "cells")  # seven parts of the sheets read the staff, and their readers read the cells several times
+    s = stored(_staff(spark, sf_dir).withColumn("r", F.row_number().over(Window.partitionBy(*SHEET).orderBy("stylist_name")) + 2), work)
     even = F.substring("year_month", 6, 2).cast("int") % 2 == 0
     put = lambda a, b, c, d, e, f: F.when(even, F.array(a, c, b, d, e, f)).otherwise(F.array(a, b, c, d, e, f))
     lit = lambda *x: put(*map(F.lit, x))
     sheets = s.groupBy(*SHEET).agg((F.count("*") + 3).alias("n"), F.sum("service").alias("service"), F.sum("product").alias("product"), F.sum("prod_hours").alias("hours"), F.sum("guests").alias("guests"))
+    sheets = stored(sheets, work)
     off = F.when(F.col("year_month").endswith("-03"), 1).otherwise(0).cast(MONEY)
     row = lambda r, values: _cells(sheets.withColumn("r", r), SHEET, values)
     parts = [
@@ -181,7 +187,7 @@ def _provider_cells(spark, sf_dir) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return stored(out, work)
 
 
 def provider_header(spark, sf_dir):
@@ -200,13 +206,14 @@ def _paged(cells: DataFrame) -> DataFrame:
     first, in the order of their numbers, and begin to count rows anew."""
     label = parsing.header(F.col("v"))
     at = cells.where((F.col("c") == 0) & (label == "provider name")).groupBy(*SHEET).agg(F.min("r").alias("h"))
-    cells = cells.join(at, SHEET)
+    cells = cells.join(at.hint("merge"), SHEET)
     page = F.greatest(F.lit(0), F.floor((F.col("r") - F.col("h") - 1) / 4)).cast("int")
     body = cells.select(*SHEET, page.alias("page"), "r", "c", "v", "h")
-    again = body.where("r > h AND page % 3 = 2").select(*SHEET, "page").distinct().join(cells.where("r = h"), SHEET).select(*SHEET, "page", F.col("h").alias("r"), "c", "v", "h")
+    again = body.where("r > h AND page % 3 = 2").select(*SHEET, "page").distinct().join(cells.where("r = h").hint("merge"), SHEET).select(*SHEET, "page", F.col("h").alias("r"), "c", "v", "h")
     every = body.unionByName(again)
     row = F.when((F.col("page") > 0) & (F.col("r") == F.col("h")), F.lit(0)).when(F.col("page") > 0, F.col("r") - F.col("h") - F.col("page") * 4).otherwise(F.col("r"))
-    return every.select(*SHEET, "page", row.cast("int").alias("r"), (F.col("c") + F.col("page") % 3).alias("c"), "v")
+    every = every.select(*SHEET, "page", row.cast("int").alias("r"), (F.col("c") + F.col("page") % 3).alias("c"), "v")
+    return stored(every, work_folder(cells.sparkSession, "pages"))
 
 
 def paged_providers(spark, sf_dir):
