@@ -1,6 +1,6 @@
 """Who is who: raw names resolved to stable ids, the master table they come from, and checks that two sources speak of one place.
 
-Names are compared only within a location and only where they share two letters in a row; names that are similar enough always do, so
+Names are compared only within a location and only where they share enough groups of letters; names that are similar enough always do, so
 nothing is lost by it.
 """
 
