@@ -1,8 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands find candidates, their texts' shingle sets decide.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash and MinHash bands find candidates, their texts' shingle sets decide.
 
 Texts link if their sets of WORDS-word shingles have a Jaccard similarity of SIMILARITY at least. Texts with equal sets are one class.
-A class has BANDS keys of ROWS minima each; two sets of similarity s share a key with a chance of 1 - (1 - s ** ROWS) ** BANDS, which is
-0.996 at 0.8 and 0.99998 at 0.9. Classes that share a key form a bucket; buckets with the same members are compared once, and every pair in
+Fingerprints of the classes' sets are linked by BK-trees, as in simhash; classes whose fingerprints one tree links form a bucket. At 0.8 two
+fingerprints differ in about ten bits, far beyond the radius, so a class also has BANDS keys of ROWS minima each: two sets of similarity s share a key with a chance of 1 - (1 - s ** ROWS) ** BANDS, which is
+0.996 at 0.8 and 0.99998 at 0.9. Classes that share a key form a bucket too; buckets with the same members are compared once, and every pair in
 a bucket that is not yet connected is compared exactly. A hot bucket is dealt to tiles of bounded size, and each task emits a spanning
 forest of the links it finds, never the pairs.
 """
@@ -15,9 +16,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm import simhash
 from tallyloom.llm.common import LOWER, UPPER, fewer, stored
 from tallyloom.llm.components import connected_components
-from tallyloom.llm.simhash import Labels
 
 WORDS, SEED, BANDS, ROWS = 5, 42, 14, 5
 #: Least similarity, as a fraction, so that it is compared in whole numbers.
@@ -51,21 +52,23 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, hash, node, chars, keys) of every row: node names its shingle set, hash its text."""
+    """(id, hash, node, chars, fp, keys) of every row: node names its shingle set, whose fingerprint is fp (null for an empty set), hash its text."""
 
     def run(batches):
         for b in batches:
-            nodes, keys, chars = [], [], []
+            nodes, keys, chars, fps = [], [], [], []
             for t in (x.as_py() for x in b.column(2)):
                 s = shingle_set(t)
                 nodes.append(xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63))
                 keys.append(band_keys(s))
+                fps.append(simhash.of_hashes(s) if len(s) else None)
                 chars.append(len(t or ""))
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(nodes, pa.int64()), pa.array(chars, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "hash", "node", "chars", "keys"])
+            numbers = [pa.array(c, pa.int64()) for c in (nodes, chars, fps)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *numbers, pa.array(keys, pa.list_(pa.int64()))], ["id", "hash", "node", "chars", "fp", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, f"id {kind}, hash long, node long, chars long, keys array<long>")
+    return rows.mapInArrow(run, f"id {kind}, hash long, node long, chars long, fp long, keys array<long>")
 
 
 def forest(sets: list[np.ndarray]) -> np.ndarray:
@@ -74,7 +77,7 @@ def forest(sets: list[np.ndarray]) -> np.ndarray:
     distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
     ends = np.cumsum(size)
     starts = ends - size
-    labels, mark = Labels(len(sets)), np.zeros(len(distinct), bool)
+    labels, mark = simhash.Labels(len(sets)), np.zeros(len(distinct), bool)
     for i in range(len(sets)):
         if not (labels.of[i + 1 :] != labels.of[i]).any():
             continue
@@ -111,15 +114,28 @@ def _compare(batches):
         yield edges()
 
 
-def similarity_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Edges (a, b) whose components are those of all links found between classes(node, first, chars, keys)."""
-    keyed = classes.select("node", "first", "chars", F.posexplode("keys").alias("t", "k"))
+def fingerprint_keys(classes: DataFrame) -> DataFrame:
+    """(node, first, chars, t, k) of classes(node, first, chars, fp): t is -1, k the class's fingerprint, and in further rows those that stand for it in a tree."""
+    some = classes.where("fp IS NOT NULL").select("node", "first", "chars", "fp")
+    fps = stored(some.select("fp").distinct(), "fingerprints")
+    linked = simhash.fingerprint_links(fps).where("a <> b").distinct()
+    linked = some.join(linked, F.col("fp") == F.col("a")).select("node", "first", "chars", F.lit(-1).alias("t"), F.col("b").alias("k"))
+    return some.select("node", "first", "chars", F.lit(-1).alias("t"), F.col("fp").alias("k")).unionByName(linked)
+
+
+def band_rows(classes: DataFrame) -> DataFrame:
+    """(node, first, chars, t, k) of classes(node, first, chars, keys), t being the band's number."""
+    return classes.select("node", "first", "chars", F.posexplode("keys").alias("t", "k"))
+
+
+def similarity_links(docs: DataFrame, keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Edges (a, b) whose components are those of all links found between classes keyed(node, first, chars, t, k) that share t and k."""
     same = [F.count("*").alias("n"), F.sum("chars").alias("chars"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
     buckets = keyed.groupBy("t", "k").agg(*same).where("n > 1").groupBy("n", "chars", "x", "y").agg(F.min(F.struct("t", "k")).alias("b"))
     parts = F.ceil(F.greatest(F.col("n") / PART, F.col("chars") / CHARS)).cast("int")
     buckets = buckets.select("b.t", "b.k", F.greatest(parts, F.lit(1)).alias("parts"))
     members = keyed.select("node", "first", "t", "k").join(buckets, ["t", "k"])
-    members = members.groupBy("node", "first").agg(F.collect_list(F.struct("t", "k", "parts")).alias("in"))  # BANDS at most
+    members = members.groupBy("node", "first").agg(F.collect_list(F.struct("t", "k", "parts")).alias("in"))  # BANDS, and a few fingerprints
     members = members.select("node", F.col("first.id").alias("i"), F.col("first.hash").alias("h"), "in")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
     rows = rows.join(members, F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h"))).select("node", "text", F.inline("in"))
@@ -132,9 +148,10 @@ def similarity_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, component_id) for every row; component_id is the smallest id reachable over links, null if none is known. A null text counts as empty."""
     rows = stored(sketches(docs, id_col, text_col), "sketches", scan=True)
-    classes = rows.groupBy("node").agg(F.min("id").alias("rep"), F.min(F.struct("id", "hash", "chars")).alias("first"), F.min("keys").alias("keys"))
-    classes = stored(classes.select("node", "rep", F.struct("first.id", "first.hash").alias("first"), F.col("first.chars").alias("chars"), "keys"), "classes")
-    links = stored(similarity_links(docs, classes, id_col, text_col), "links")
+    classes = rows.groupBy("node").agg(F.min("id").alias("rep"), F.min(F.struct("id", "hash", "chars")).alias("first"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
+    classes = stored(classes.select("node", "rep", F.struct("first.id", "first.hash").alias("first"), F.col("first.chars").alias("chars"), "fp", "keys"), "classes")
+    keyed = band_rows(classes).unionByName(stored(fingerprint_keys(classes), "fingerprint-keys"))
+    links = stored(similarity_links(docs, keyed, id_col, text_col), "links")
     named = stored(classes.select("node", "rep").join(connected_components(links).withColumnRenamed("component", "c"), "node"), "linked")
     least = named.groupBy("c").agg(F.min("rep").alias("least"))
     named = classes.select("node", "rep").join(named.join(least, "c").select("node", "least"), "node", "left").select("node", F.coalesce("least", "rep").alias("component_id"))

@@ -41,11 +41,15 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     stops = ends[min(words, len(found)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
+    return of_hashes(np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, stops)), np.uint64, n))
+
+
+def of_hashes(h: np.ndarray) -> int:
+    """Signed 64-bit SimHash of 64-bit hashes: a bit is set if it is in over half of them."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 65536):  # a very long text takes bounded memory
-        h = np.array([digest(joined[s:e], SEED) for s, e in zip(starts[at : at + 65536], stops[at : at + 65536])], np.uint64)
-        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view(">i8")[0])
+    for at in range(0, len(h), 65536):  # a very long text takes bounded memory
+        ones += np.unpackbits(h[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(h)).view(">i8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
@@ -186,7 +190,7 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tree: int = TREE) ->
     dealt = dealt.withColumn("c", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     tiles = dealt.select("t", "k", "fp", "c", F.explode(F.expr("sequence(0, parts - 1)")).alias("j"))
     tiles = tiles.select("t", "k", F.least("c", "j").alias("lo"), F.greatest("c", "j").alias("hi"), "c", "fp")
-    tiles = tiles.repartition("t", "k", "lo", "hi").sortWithinPartitions("t", "k", "lo", "hi")
+    tiles = tiles.repartition("t", "k", "lo", "hi").sortWithinPartitions("t", "k", "lo", "hi", "fp")  # the least of a component stands for it, in all tiles alike
     return tiles.mapInArrow(_search_tiles(radius), "a long, b long")
 
 
