@@ -13,7 +13,7 @@ from tallyloom.operators.people import closeness, moves, similarity, steps, to_1
 from tallyloom.operators.trust import check
 from tallyloom.sources import facts
 from tallyloom.sources.tables import parquet
-from tallyloom.sources.work import stored, work_folder
+from tallyloom.sources.work import stored, tasks, work_folder
 
 #: Confidence from which a move needs no review, and from which it needs no grace period.
 SURE, FAST = 0.80, 0.90
@@ -64,14 +64,14 @@ def location_pattern(rows: DataFrame, weeks: int = PATTERN, usual: int = USUAL)
 
     Over that week and those before it, `weeks` in all: the location with most rows is primary (ties by name), split is each one's share in
     thousandths. A person who was at two locations or more in at least `usual` of the weeks each works at several; those other than the
-    primary are secondary. A row counts in each week that it is looked back to from, so there is no join of weeks with weeks.
+    primary are secondary. A row counts in each of the person's weeks that it is looked back to from, so there is no join of weeks with weeks.
     """
-    own = rows.groupBy("person", "week", "loc_name").agg(F.sum("n").alias("n"))
-    later = F.explode(F.transform(F.sequence(F.lit(0), F.lit(weeks - 1)), lambda i: F.struct((i == 0).alias("now"), F.date_add("week", i * 7).alias("at"))))
-    seen = own.select("person", "loc_name", "n", later.alias("x")).select("person", "loc_name", "n", "x.*")
-    per = seen.groupBy("person", "at", "loc_name").agg(F.sum("n").alias("n"), F.count("*").alias("weeks"), F.bool_or("now").alias("now"))
+    own = rows.groupBy("person", "week", "loc_name").agg(F.sum("n").alias("n")).withColumn("_w", F.unix_date("week").cast("long"))
+    later = F.collect_set("week").over(Window.partitionBy("person").orderBy("_w").rangeBetween(0, 7 * (weeks - 1)))
+    seen = own.withColumn("at", later).select("person", "loc_name", "n", F.explode("at").alias("at"))
+    per = seen.groupBy("person", "at", "loc_name").agg(F.sum("n").alias("n"), F.count("*").alias("weeks"))
     places = F.collect_list(F.struct("loc_name", "n", "weeks"))
-    out = per.groupBy("person", F.col("at").alias("week")).agg(F.array_sort(places).alias("p"), F.sum("n").alias("total"), F.bool_or("now").alias("now")).where("now")
+    out = per.groupBy("person", F.col("at").alias("week")).agg(F.array_sort(places).alias("p"), F.sum("n").alias("total"))
     first = F.array_sort(F.transform("p", lambda x: F.struct((-x["n"]).alias("n"), x["loc_name"].alias("loc_name"))))[0]["loc_name"]
     out = out.withColumn("primary_location", first).withColumn("_usual", F.transform(F.filter("p", lambda x: x["weeks"] >= usual), lambda x: x["loc_name"]))
     multi = F.size("_usual") >= 2
@@ -146,8 +146,8 @@ def multi_location_guard(spark, sf_dir):
 def multi_location_pattern(spark, sf_dir):
     """Where the lines that each customer bought in a week and the three before it came from."""
     orders = parquet(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("person"))
-    rows = facts.lines(spark, sf_dir).join(orders, "l_orderkey").select("person", "loc_name", F.next_day(F.date_sub("day", 1), "SU").alias("week"), F.lit(1).alias("n"))
-    return location_pattern(rows)
+    rows = facts.lines(spark, sf_dir).join(orders.hint("shuffle_hash"), "l_orderkey").select("person", "loc_name", F.next_day(F.date_sub("day", 1), "SU").alias("week"), F.lit(1).alias("n"))
+    return location_pattern(rows.repartition(tasks(orders, facts.ORDERS), "person"))
 
 
 def transfer_detection(spark, sf_dir):

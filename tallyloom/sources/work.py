@@ -22,3 +22,9 @@ def stored(df: DataFrame, folder: str) -> DataFrame:
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tasks(table: DataFrame, rows: int) -> int:
+    """How many tasks have about `rows` rows of a table each, so that the memory of one does not grow with the table. The table is counted,
+    so it should be one that is stored."""
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // rows))
