@@ -14,7 +14,7 @@ from tallyloom.operators.people import MATCH, moves, similar_pairs
 from tallyloom.operators.rounds import claims
 from tallyloom.operators.stores import commit, current_number, read_current
 from tallyloom.sources import facts
-from tallyloom.sources.work import work_folder
+from tallyloom.sources.work import stored, tasks, work_folder
 
 # Kinds of orders and the states that they lead to.
 KINDS = {"revert": "INVALID", "confirm": "CONFIRMED", "effective_date": None}
@@ -57,19 +57,18 @@ def stays(known: DataFrame) -> DataFrame:
 
 
 def where_was(history: DataFrame, questions: DataFrame) -> DataFrame:
-    """questions(question, person, on_day, as_of) with loc_name: where the person was on one day, as known on the other.
+    """questions(question, person, on_day, as_of) with loc_name: where the person was on one day, as known on the other. A question has one row.
 
     An interval join within the person: of the versions known at as_of that were valid by on_day, the last one. Without any, where the
-    person's first event known by then came from; null if nothing was known.
+    person's first event known by then came from; null if nothing was known. Rows of both that are dealt by person stay where they are.
     """
-    v = history.where("status <> 'INVALID'").select("person", F.col("to_loc").alias("_to"), F.struct("effective_day", "day", "event_id").alias("_order"), "known_from", "known_to")
     q = questions.select("question", "person", "on_day", "as_of")
-    known = (F.col("v.known_from") <= F.col("q.as_of")) & (F.col("v.known_to").isNull() | (F.col("v.known_to") > F.col("q.as_of")))
-    hit = q.alias("q").join(v.alias("v"), (F.col("q.person") == F.col("v.person")) & known & (F.col("v._order.effective_day") <= F.col("q.on_day")))
-    last = hit.groupBy("q.question").agg(F.max_by("v._to", "v._order").alias("_last"))
-    first = history.groupBy("person", F.col("event_id")).agg(F.min("known_from").alias("_known"), F.first("from_loc").alias("_from"), F.first("day").alias("_day"))
-    start = q.join(first, "person").where("_known <= as_of").groupBy("question").agg(F.min_by("_from", F.struct("_day", "event_id")).alias("_start"))
-    return q.join(last, "question", "left").join(start, "question", "left").select(*q.columns, F.coalesce("_last", "_start").alias("loc_name"))
+    v = history.select(F.col("person").alias("_person"), "event_id", "from_loc", "to_loc", "day", "status", "effective_day", "known_from", "known_to")
+    known = q.join(v, (F.col("person") == F.col("_person")) & (F.col("known_from") <= F.col("as_of")), "left")
+    holds = (F.col("status") != "INVALID") & (F.col("known_to").isNull() | (F.col("known_to") > F.col("as_of"))) & (F.col("effective_day") <= F.col("on_day"))
+    last = F.max_by("to_loc", F.when(holds, F.struct("effective_day", "day", "event_id")))
+    first = F.min_by("from_loc", F.when(F.col("_person").isNotNull(), F.struct("day", "event_id")))
+    return known.groupBy(*q.columns).agg(F.coalesce(last, first).alias("loc_name"))
 
 
 def due(people: DataFrame, orders: DataFrame, least: float = MATCH) -> DataFrame:
@@ -152,9 +151,11 @@ def stays_as_known(spark, sf_dir):
 
 def place_as_known(spark, sf_dir):
     """For each move, where the person was on that day, as known twelve and sixty days later."""
-    e = _events(spark, sf_dir)
+    e = stored(_events(spark, sf_dir), work_folder(spark))
+    n = tasks(e, facts.ORDERS)
+    history = versions(e.repartition(n, "event_id"), _orders(e).repartition(n, "event_id"))
     q = e.select(F.explode(F.array(F.lit(12), F.lit(60))).alias("later"), "*").select(F.concat_ws("/", "event_id", "later").alias("question"), "person", F.col("day").alias("on_day"), F.date_add("day", F.col("later")).alias("as_of"))
-    return where_was(_history(spark, sf_dir), q).select("question", "loc_name")
+    return where_was(history.repartition(n, "person"), q.repartition(n, "person")).select("question", "loc_name")
 
 
 def revert_check(spark, sf_dir):
