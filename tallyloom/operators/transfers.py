@@ -111,10 +111,16 @@ def correct(events: DataFrame, corrections: DataFrame) -> DataFrame:
 
 
 def audit_trail(log: DataFrame) -> DataFrame:
-    """Every event of the corrected log in its person's order, corrections with the confidence of what they correct."""
-    original = log.select(F.col("event_id").alias("corrects"), F.col("score").alias("original_score"))
+    """Every event of the corrected log in its person's order, corrections with the confidence of what they correct.
+
+    Only corrections look that up: rows without one to look up would all meet in one task. The log is counted, so it should be a stored one.
+    """
+    n = tasks(log, facts.ORDERS)
+    none = F.lit(None).cast(log.schema["score"].dataType)
+    original = log.select(F.col("event_id").alias("corrects"), F.col("score").alias("original_score")).repartition(n, "corrects")
+    made = log.where("corrects IS NOT NULL").repartition(n, "corrects").withColumn("score", none).join(original, "corrects", "left")
+    out = log.where("corrects IS NULL").withColumn("original_score", none).unionByName(made).repartition(n, "person")
     w = Window.partitionBy("person").orderBy("day", "visit", "version")
-    out = log.drop("score").join(log.select("event_id", F.when(F.col("corrects").isNull(), F.col("score")).alias("score")), "event_id").join(original, "corrects", "left")
     return out.select("person", F.row_number().over(w).cast("long").alias("place"), F.when(F.col("corrects").isNull(), "Transfer Detected").otherwise("Correction Applied").alias("event"), "event_id", "version", "status", "score", "original_score", "kind", "corrected_loc", "corrected_day")
 
 
@@ -167,9 +173,10 @@ def transfer_counts(spark, sf_dir):
 def _log(spark, sf_dir) -> DataFrame:
     events = moves(facts.visits(spark, sf_dir)).select(F.concat(F.lit("t"), F.col("visit")).alias("event_id"), F.lit(1).cast("long").alias("version"), F.lit("active").alias("status"), "person", "visit", "from_loc", "to_loc", "day", F.round(closeness(F.col("prior_revenue"), F.col("revenue")), 3).alias("score"))
     events = stored(events, work_folder(spark))
+    n = tasks(events, facts.ORDERS)
     kind = F.element_at(F.array(*map(F.lit, CORRECTIONS)), (F.col("visit") % 4 + 1).cast("int"))
     given = events.where("visit % 5 = 0").select("event_id", kind.alias("kind"), F.lit("checked").alias("reason"), F.lit("NATION_0").alias("location"), F.date_add("day", 7).alias("day"))
-    return correct(events, given)
+    return correct(events.repartition(n, "event_id"), given.repartition(n, "event_id"))
 
 
 def transfer_corrections(spark, sf_dir):
