@@ -6,9 +6,9 @@ Batches are appended through foreachBatch; a batch replayed after a failure find
 from __future__ import annotations
 
 import json
-import math
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,29 +84,32 @@ def timed_grace_period(stream: DataFrame, key: str, place: str, time: str, late:
     A key's rows wait in the state until the watermark, `late` behind the newest row of the stream, has passed them, and then count in the
     order of their times (ties by place). So rows in any order that are no later than that give what they give in order; later ones are
     dropped. A key's waiting rows are few: those of the last `late`. Rows without a time, place or key are left out. time must be a
-    timestamp.
+    timestamp. Times are whole microseconds in the state and in the rule, for a key has few rows and each is looked at alone.
     """
-    patience = pd.Timedelta(days=days)
+    patience = days * 86_400_000_000
 
     def run(k, batches, state: GroupState):
         home, candidate, since, n, waiting = state.get if state.exists else (None, None, None, 0, "[]")
-        mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        rows = [(pd.Timestamp(t), p) for t, p in json.loads(waiting)]
-        rows += [(pd.Timestamp(t), p) for pdf in batches for t, p in pdf[[time, place]].itertuples(index=False)]
+        mark = state.getCurrentWatermarkMs() * 1000
+        rows = [(t, p) for t, p in json.loads(waiting)]
+        for pdf in batches:
+            rows += zip(pdf[time].to_numpy().astype("datetime64[us]").astype("int64").tolist(), pdf[place].tolist())
         rows.sort()
         ready = [r for r in rows if r[0] < mark]
         rows = rows[len(ready) :]
-        out, (home, candidate, since, n) = moved(ready, (home, candidate, pd.Timestamp(since) if since else None, n), mark, needed, patience)
-        state.update((home, candidate, since.isoformat() if since is not None else None, n, json.dumps([(t.isoformat(), p) for t, p in rows])))
+        out, (home, candidate, since, n) = moved(ready, (home, candidate, since, n), mark, needed, patience)
+        state.update((home, candidate, since, n, json.dumps(rows)))
         ends = [x for x in (rows[0][0] if rows else None, since + patience if since is not None else None) if x is not None]
         if ends:
-            state.setTimeoutTimestamp(math.floor(min(ends).value / 1_000_000))  # called again as soon as the watermark is beyond it
-        yield pd.DataFrame([(k[0], *x) for x in out], columns=[key, "from_place", "to_place", "seen", "how"])
+            state.setTimeoutTimestamp(min(ends) // 1000)  # called again as soon as the watermark is beyond it
+        if out:
+            left, to, seen, how = zip(*out)
+            yield pd.DataFrame({key: k * len(out), "from_place": left, "to_place": to, "seen": np.array(seen, "datetime64[us]"), "how": how})
 
     kinds = dict(stream.dtypes)
     rows = stream.select(key, F.col(place).cast("string").alias(place), F.col(time).cast("timestamp").alias(time)).na.drop().withWatermark(time, late)
     schema = f"{key} {kinds[key]}, from_place string, to_place string, seen timestamp, how string"
-    return rows.groupBy(key).applyInPandasWithState(run, schema, "home string, candidate string, since string, n int, waiting string", "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy(key).applyInPandasWithState(run, schema, "home string, candidate string, since long, n int, waiting string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def write_batch(batch: DataFrame, number: int, ledger: str) -> None:
